@@ -135,7 +135,7 @@ def _typed_sql(inner: str, types, derived_year: str) -> str:
         if name == "year":
             columns.append(f"{derived_year} AS year")
         elif kind.startswith("decimal"):
-            columns.append(f"round({name} + 1e-9, 2) AS {name}")
+            columns.append(f"{dbl(f'CAST(CAST({name} AS VARCHAR) AS {kind})')} AS {name}")
         else:
             columns.append(name)
     return f"SELECT {', '.join(columns)} FROM ({inner})"
