@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,25 +29,45 @@ TEXT_TYPES = ("string", "varchar")
 _LONG_TEXT = 64
 
 
-def _comparable(field: T.StructField) -> Column:
-    """Text that is equal exactly when the values are, and short enough to shuffle.
+def _group_key(field: T.StructField) -> Column:
+    """A value that is equal exactly when the column's values are, and cheap to shuffle.
 
     Long text is replaced by its SHA-256 digest with a marker in front, which is
     longer than any text kept as it is, so the two cannot be confused.
     """
     col = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return (col + F.lit(0).cast(field.dataType)).cast("string")  # -0.0 equals 0.0
     if isinstance(field.dataType, T.BinaryType):
         col = F.hex(col)
     elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
         col = F.to_json(col)
     elif not isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType)):
-        return col.cast("string")
+        return col
     digest = F.concat(F.lit("#"), F.sha2(col.cast("binary"), 256))
     return F.when(F.length(col) > _LONG_TEXT, digest).otherwise(col)
 
 
+_WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)
+
+
+def _cell(field: T.StructField) -> tuple[Column, Column, Column]:
+    """The value as one of a whole number, a floating number or text."""
+    whole = F.lit(None).cast("bigint")
+    floating = F.lit(None).cast("double")
+    text = F.lit(None).cast("string")
+    key, kind = _group_key(field), field.dataType
+    if isinstance(kind, _WHOLE):
+        whole = key.cast("bigint")
+    elif isinstance(kind, T.DateType):
+        whole = F.unix_date(key).cast("bigint")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        whole = F.unix_micros(key.cast("timestamp"))
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        floating = key.cast("double")
+    else:
+        text = key.cast("string")
+    return whole, floating, text
+
+
 def _fields(df: DataFrame, columns: Sequence[str] | None) -> list[T.StructField]:
     return [f for f in df.schema if columns is None or f.name in columns]
 
@@ -56,7 +78,7 @@ def _described(df: DataFrame, fields: Sequence[T.StructField], numbers: DataFram
     listed = df.sparkSession.createDataFrame(
         rows, "position int, column_name string, data_type string"
     )
-    joined = listed.join(numbers, "column_name", "left").fillna(
+    joined = listed.join(numbers, "position", "left").fillna(
         0, ["total_rows", "null_count", "distinct_count"]
     )
     total = F.col("total_rows")
@@ -80,38 +102,44 @@ def profile(
     One scan serves all columns.  Exact counting turns the table into
     (column, value) cells and counts those, first within each map task: a value
     that fills a third of a column travels once per task.  ``approx`` counts with
-    a sketch and shuffles no values at all.
+    a sketch and shuffles no values at all, which suits wide tables of mostly
+    distinct values.
     """
     fields = _fields(df, columns)
     if approx:
         numbers = _approximate(df, fields)
     else:
-        cells = df.select([_comparable(f).alias(f.name) for f in fields]).unpivot(
-            [], [F.col(f"`{f.name}`") for f in fields], "column_name", "value"
-        )
-        numbers = (
-            cells.groupBy("column_name", "value")
-            .agg(F.count("*").alias("n"))
-            .groupBy("column_name")
-            .agg(
-                F.sum("n").alias("total_rows"),
-                F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-                F.count("*").alias("distinct_count"),
-            )
-        )
+        numbers = _exact(df, fields)
     return _described(df, fields, numbers)
 
 
+def _exact(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    parts = [x for i, f in enumerate(fields) for x in (F.lit(i), *_cell(f))]
+    value = ("whole", "floating", "text")
+    cells = df.select(F.stack(F.lit(len(fields)), *parts).alias("position", *value))
+    missing = reduce(and_, [F.col(v).isNull() for v in value])
+    return (
+        cells.groupBy("position", *value)
+        .agg(F.count("*").alias("n"))
+        .groupBy("position")
+        .agg(
+            F.sum("n").alias("total_rows"),
+            F.sum(F.when(missing, F.col("n")).otherwise(0)).alias("null_count"),
+            F.count("*").alias("distinct_count"),
+        )
+    )
+
+
 def _approximate(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     parts = [F.count("*").alias("total_rows")]
     for i, f in enumerate(fields):
         parts += [
             F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}"),
-            F.approx_count_distinct(_comparable(f)).alias(f"_d{i}"),
+            F.approx_count_distinct(_group_key(f)).alias(f"_d{i}"),
         ]
     per_column = [
         F.struct(
-            F.lit(f.name).alias("column_name"),
+            F.lit(i).alias("position"),
             F.col(f"_n{i}").alias("null_count"),
             (F.col(f"_d{i}") + F.when(F.col(f"_n{i}") > 0, 1).otherwise(0)).alias(
                 "distinct_count"
@@ -124,7 +152,7 @@ def _approximate(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
 
 def exact_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, distinct rows, and the rows beyond the first of each kind."""
-    keys = [_comparable(f).alias(f.name) for f in _fields(df, columns)]
+    keys = [_group_key(f).alias(f.name) for f in _fields(df, columns)]
     counted = (
         df.select(keys)
         .groupBy(*[f"`{f.name}`" for f in _fields(df, columns)])

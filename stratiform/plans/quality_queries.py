@@ -18,7 +18,7 @@ from stratiform.plans.report_queries import (
     null_rows_sql,
 )
 from stratiform.sinks import append_results
-from stratiform.session import scratch_path
+from stratiform.session import reliable_checkpoint, scratch_path
 from stratiform.sources import star_table, trips
 
 # A fixed "now" that lies shortly after the newest event.
@@ -283,7 +283,7 @@ def dq_suite(spark, sf):
 def dq_history(spark, sf):
     """Two runs kept in a table, and the latest results read back."""
     path = scratch_path(spark, "dq-history")
-    results = _suite(spark, sf)
+    results = reliable_checkpoint(_suite(spark, sf))
     table = "stratiform_dq_" + path.rsplit("-", 1)[-1]
     append_results(results, table, path)
     append_results(results, table)
