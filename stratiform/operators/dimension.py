@@ -61,5 +61,5 @@ def surrogate_key(
     shared folder; its size then decides how it gets numbered.
     """
     dim = reliable_checkpoint(dim)
-    small = dim.limit(single_task_rows + 1).count() <= single_task_rows
+    small = dim.count() <= single_task_rows
     return (_number_in_one_task if small else _number_by_range)(dim, columns)

@@ -18,14 +18,12 @@ def checked_broadcast(
     """Mark a lookup for broadcasting if it is measured to be small enough.
 
     For lookups derived by a query, whose size the planner overestimates.  The
-    measuring job stops after ``max_rows``; a larger lookup comes back unmarked.
+    measure is one parallel aggregate; a larger lookup comes back unmarked.
     """
     width = F.octet_length(F.to_json(F.struct("*")))
-    size = (
-        lookup.limit(max_rows + 1)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
-        .first()
-    )
+    size = lookup.agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
     small = size.n <= max_rows and size.bytes <= max_bytes
     return F.broadcast(lookup) if small else lookup
 

@@ -68,11 +68,12 @@ def compact(
 def _boundaries(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list[str]]:
     """Cut points that split each column into about ``2 ** bits`` equal shares.
 
-    They come from a random sample of fixed size, picked in one pass without a
-    shuffle of the table.  They steer the layout only, never the rows.
+    They come from a random sample of about ``ZORDER_SAMPLE_ROWS`` rows, drawn
+    within the map tasks.  They steer the layout only, never the rows.
     """
     n = 1 << bits
-    sample = df.select(*columns).orderBy(F.rand(_SEED)).limit(ZORDER_SAMPLE_ROWS)
+    fraction = min(1.0, ZORDER_SAMPLE_ROWS / max(df.count(), 1))
+    sample = df.select(*columns).sample(False, fraction, _SEED)
 
     def picks(c: str) -> Column:
         values = F.array_sort(F.collect_list(c))

@@ -39,7 +39,7 @@ def upsert(
     if check:
         check_single_match(target, source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
 def _differs(columns: Sequence[str], left: str, right: str) -> Column:
@@ -49,11 +49,27 @@ def _differs(columns: Sequence[str], left: str, right: str) -> Column:
     return ~same
 
 
+def _lacks_key(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Whether a row has no complete key; constant where the schema rules that out."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | (F.col(k).isNull() if df.schema[k].nullable else F.lit(False))
+    return missing
+
+
 def _versions(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full join of two keyed frames as struct columns ``old`` and ``new``."""
+    """Full join of two keyed frames as struct columns ``old`` and ``new``.
+
+    Rows without a key match nothing.  They go around the join, because a full
+    join would gather them all in one task.
+    """
     left = old.select(*keys, F.struct("*").alias("old"))
     right = new.select(*keys, F.struct("*").alias("new"))
-    return left.join(right, list(keys), "full")
+    no_left, no_right = _lacks_key(old, keys), _lacks_key(new, keys)
+    paired = left.where(~no_left).join(right.where(~no_right), list(keys), "full")
+    old_only = left.where(no_left).withColumn("new", F.lit(None).cast(right.schema["new"].dataType))
+    new_only = right.where(no_right).withColumn("old", F.lit(None).cast(left.schema["old"].dataType))
+    return paired.unionByName(old_only).unionByName(new_only)
 
 
 def snapshot_diff(

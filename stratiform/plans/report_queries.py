@@ -19,6 +19,7 @@ from stratiform.plans.registry import (
     r,
     rounded,
 )
+from stratiform.session import reliable_checkpoint
 from stratiform.sources import star_table, trips
 
 _DESTINATIONS = [f"NATION_{i}" for i in range(25)]
@@ -175,6 +176,7 @@ def _layers(spark, sf):
     silver = latest_per_key(
         bronze, ["l_orderkey", "l_linenumber"], "l_shipdate", DEDUP_TIEBREAK
     )
+    silver = reliable_checkpoint(silver)  # three layers read it
     by_day = silver.groupBy(F.to_date("l_shipdate").alias("agg_date"))
     by_month = silver.groupBy(
         F.year("l_shipdate").alias("agg_year"), F.month("l_shipdate").alias("agg_month")

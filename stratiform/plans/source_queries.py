@@ -243,6 +243,30 @@ def snk_create_or_merge(spark, sf):
     return spark.read.parquet(f"{path}/v2")
 
 
+@query(
+    "snk_merge_partitions",
+    """WITH changes AS (
+         SELECT o_orderkey, o_orderpriority, 'X' AS o_orderstatus, o_totalprice FROM orders
+         WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O')
+       SELECT * FROM changes UNION ALL
+       SELECT o_orderkey, o_orderpriority, o_orderstatus, o_totalprice FROM orders
+       WHERE NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'O')""",
+)
+def snk_merge_partitions(spark, sf):
+    """A merge that rewrites one partition of the table and leaves the others."""
+    path = scratch_path(spark, "merge-parts")
+    table = _table_name(path)
+    target = _orders(spark, sf).select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
+    )
+    keys, parts = ["o_orderpriority", "o_orderkey"], ["o_orderpriority"]
+    changes = target.where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'")
+    create_or_merge(target, table, keys, parts, location=path)
+    create_or_merge(changes.withColumn("o_orderstatus", F.lit("X")), table, keys, parts)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(path)
+
+
 @query(
     "snk_write_gold",
     """SELECT CAST(year(o_orderdate) AS BIGINT) AS order_year, o_orderpriority, count(*) AS orders

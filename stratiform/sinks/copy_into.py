@@ -49,7 +49,7 @@ def copy_into(
     there get opened: the comparison works on the listing, not on rows.  Each
     batch of files goes to a folder of its own and is entered in the ledger
     afterwards, so a load that died between the two rewrites the same folder
-    when it is repeated.
+    when it is repeated.  Without a ``schema`` the first batch settles it.
     """
     ledger_path = dst.rstrip("/") + "__loaded"
     ledger = _ledger(spark, ledger_path)
@@ -57,6 +57,9 @@ def copy_into(
     number = 0 if last is None else last + 1
     loaded = 0
     for paths in batched(_new_files(spark, src, pattern, ledger), files_per_batch):
+        if schema is None and number > 0:
+            # Types inferred from one batch have to hold for all that follow.
+            schema = spark.read.parquet(dst).drop(BATCH_COLUMN).schema
         rows = read_source(spark, list(paths), fmt, schema, options)
         rows.write.mode("overwrite").parquet(f"{dst}/{BATCH_COLUMN}={number}")
         entries = spark.createDataFrame([(p, number) for p in paths], _LEDGER_SCHEMA)

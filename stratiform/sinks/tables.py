@@ -7,12 +7,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
+from stratiform.operators.enrich import checked_broadcast
 from stratiform.operators.layout import analyze_table, even_partitions, zorder
 from stratiform.operators.merge import upsert
+from stratiform.session import reliable_checkpoint
+
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _writer(
@@ -52,20 +59,56 @@ def create_or_merge(
 ) -> None:
     """Upsert into an existing table, or write it anew.
 
-    The merged rows go to a staging table first, which then takes the name over;
-    the old rows stay readable until the new ones are complete.
+    If the keys include the partition columns, a row and its successor lie in the
+    same partition, and only the partitions the source touches are rewritten.
+    Otherwise the whole table is.
     """
-    spark = df.sparkSession
-    if not (merge_mode and spark.catalog.tableExists(table)):
+    if not (merge_mode and df.sparkSession.catalog.tableExists(table)):
         overwrite_table(df, table, partition_by, location)
-        return
+    elif partition_by and set(partition_by) <= set(keys):
+        _merge_partitions(df, table, keys, partition_by)
+    else:
+        _merge_table(df, table, keys, partition_by, location)
+
+
+def _merge_table(
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    location: str | None,
+) -> None:
+    """Write the merged rows to a staging table, which then takes the name over.
+
+    The old rows stay readable until the new ones are complete.
+    """
+    spark = df.sparkSession
     staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
-    merged = upsert(spark.table(table), df, keys)
-    overwrite_table(merged, staging, partition_by, location)
+    overwrite_table(upsert(spark.table(table), df, keys), staging, partition_by, location)
     spark.sql(f"DROP TABLE {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
+def _merge_partitions(
+    df: DataFrame, table: str, keys: Sequence[str], partition_by: Sequence[str]
+) -> None:
+    """Rewrite the touched partitions, from a copy that is complete before they go."""
+    spark = df.sparkSession
+    target = spark.table(table)
+    touched = reliable_checkpoint(df.select(*partition_by).distinct())
+    scope = target.join(checked_broadcast(touched), list(partition_by), "left_semi")
+    unnamed = reduce(or_, [F.col(c).isNull() for c in partition_by])
+    if not touched.where(unnamed).isEmpty():
+        scope = scope.unionByName(target.where(unnamed))
+    merged = reliable_checkpoint(upsert(scope.select(*target.columns), df, keys))
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        even_partitions(merged, partition_by).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+
+
 def append_results(results: DataFrame, table: str, location: str | None = None) -> None:
     """Keep check results as history."""
     append_or_create(results.coalesce(1), table, location=location)

@@ -238,3 +238,53 @@ def test_access(spark):
 def test_shuffle_partitions_scale():
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(10**12, 8) == 7451
+
+
+def test_snapshot_diff_without_keys(spark):
+    old = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    new = spark.createDataFrame([(None, "a"), (None, "c"), (1, "b")], "k int, v string")
+    assert rows(snapshot_diff(old, new, ["k"])) == [
+        (None, "a", "delete"),
+        (None, "a", "insert"),
+        (None, "c", "insert"),
+    ]
+
+
+def test_copy_into_keeps_the_first_types(spark):
+    root = scratch_path(spark, "test-types")
+    src, dst = f"{root}/in", f"{root}/out"
+    spark.createDataFrame([("007",)], "code string").write.json(src)
+    assert copy_into(spark, src, dst, "json", "*.json") == 1
+    spark.createDataFrame([(8,)], "code int").write.mode("append").json(src)
+    assert copy_into(spark, src, dst, "json", "*.json") == 1
+    loaded = spark.read.parquet(dst)
+    assert dict(loaded.dtypes)["code"] == "string"
+    assert rows(loaded.select("code")) == [("007",), ("8",)]
+
+
+def test_partition_merge_leaves_other_partitions_alone(spark, table):
+    keys, parts = ["k", "p"], ["p"]
+    df = spark.createDataFrame(
+        [(1, "a", "x"), (1, "b", "x"), (2, "b", "y"), (3, "c", None)], "k int, v string, p string"
+    )
+    create_or_merge(df, table, keys, parts)
+
+    def files():
+        listed = spark.table(table).select("p", F.col("_metadata.file_path").alias("f"))
+        return {tuple(r) for r in listed.distinct().collect()}
+
+    before = files()
+    source = spark.createDataFrame([(2, "B", "y"), (4, "d", "z"), (5, "e", None)], df.schema)
+    create_or_merge(source, table, keys, parts)
+    assert rows(spark.table(table)) == [
+        (1, "a", "x"),
+        (1, "b", "x"),
+        (2, "B", "y"),
+        (3, "c", None),
+        (4, "d", "z"),
+        (5, "e", None),
+    ]
+    kept = {f for p, f in before & files()}
+    assert kept and all("p=x" in f for f in kept)
+    create_or_merge(source.dropna(), table, keys, parts)
+    assert spark.table(table).count() == 6
