@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.functions.trip import AIRPORT_ZONES, airport_trip
+from stratiform.session import local_frame
 
 # Holidays with raised demand.
 HOLIDAYS: tuple[str, ...] = (
@@ -154,7 +155,7 @@ def pair_distances(spark: SparkSession, rows: Sequence[tuple] = PAIR_MILES) -> D
             T.StructField("_miles", T.DoubleType(), False),
         ]
     )
-    return spark.createDataFrame(list(rows), schema)
+    return local_frame(spark, rows, schema)
 
 
 def expected_distance(

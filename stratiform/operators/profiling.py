@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.operators.quality import percent
+from stratiform.session import local_frame
 
 # What makes a column a candidate key or a clustering column.
 KEY_MAX_NULL_PCT = 5.0
@@ -27,6 +28,7 @@ NUMBER_TYPES = ("int", "bigint", "long", "double", "float", "decimal")
 TEXT_TYPES = ("string", "varchar")
 
 _LONG_TEXT = 64
+_COLUMN_LIST = "position int, column_name string, data_type string"
 
 
 def _group_key(field: T.StructField) -> Column:
@@ -75,9 +77,7 @@ def _fields(df: DataFrame, columns: Sequence[str] | None) -> list[T.StructField]
 def _described(df: DataFrame, fields: Sequence[T.StructField], numbers: DataFrame) -> DataFrame:
     """Put name, type and position next to per-column numbers; empty tables get zeros."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
-    listed = df.sparkSession.createDataFrame(
-        rows, "position int, column_name string, data_type string"
-    )
+    listed = local_frame(df.sparkSession, rows, _COLUMN_LIST)
     joined = listed.join(numbers, "position", "left").fillna(
         0, ["total_rows", "null_count", "distinct_count"]
     )
@@ -190,7 +190,7 @@ def date_ranges(df: DataFrame) -> DataFrame:
     dated = [(c, t) for c, t in df.dtypes if any(w in t for w in DATE_TYPE_WORDS)]
     schema = "column_name string, data_type string, min_value string, max_value string, partition_by boolean"
     if not dated:
-        return df.sparkSession.createDataFrame([], schema)
+        return local_frame(df.sparkSession, [], schema)
     bounds = df.agg(
         *[F.min(f"`{c}`").alias(f"_lo{i}") for i, (c, _) in enumerate(dated)],
         *[F.max(f"`{c}`").alias(f"_hi{i}") for i, (c, _) in enumerate(dated)],
@@ -232,7 +232,4 @@ def with_role(columns: DataFrame) -> DataFrame:
 def classify_columns(df: DataFrame) -> DataFrame:
     """Name, type and role of every column, from the schema alone."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
-    described = df.sparkSession.createDataFrame(
-        rows, "position int, column_name string, data_type string"
-    )
-    return with_role(described)
+    return with_role(local_frame(df.sparkSession, rows, _COLUMN_LIST))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from stratiform.config import SILVER_ADDED_COLUMNS
 from stratiform.functions.audit import clock
+from stratiform.session import local_frame
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -81,7 +82,7 @@ def _result(
 
 
 def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)
+    return local_frame(spark, [], RESULT_SCHEMA)
 
 
 def _two_counts(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -128,7 +129,7 @@ def schema_diff(left: DataFrame, right: DataFrame, excluded: Sequence[str] = ())
 
     def columns_of(df: DataFrame, type_name: str) -> DataFrame:
         rows = [(c, t) for c, t in df.dtypes if c not in excluded]
-        return df.sparkSession.createDataFrame(rows, f"column string, {type_name} string")
+        return local_frame(df.sparkSession, rows, f"column string, {type_name} string")
 
     status = (
         F.when(F.col("right_type").isNull(), "only_left")
@@ -242,7 +243,7 @@ def no_nulls(
             )
         ]
     if missing:
-        absent = df.sparkSession.createDataFrame([(c,) for c in missing], "column string")
+        absent = local_frame(df.sparkSession, [(c,) for c in missing], "column string")
         parts.append(
             absent.select(
                 _result(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratiform.operators.cleansing import business_columns
 from stratiform.operators.quality import flag_counts, key_counts, percent
 from stratiform.operators.rollup import mean
+from stratiform.session import local_frame
 
 # Bands of the NULL report, in percent.
 LOW_NULLS = 5.0
@@ -146,37 +147,24 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
     If all values are equal they fall into the first bin.  ``mean_value`` repeats
     the mean of the column.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("x")).agg(
-        F.count("*").alias("n")
+    x = F.col(column).cast("double")
+    # Two scans without a shuffle of values: the range first, then the counts.
+    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("mean")).first()
+    lo, hi = F.lit(stats.lo).cast("double"), F.lit(stats.hi).cast("double")
+    width = (hi - lo) / F.lit(float(bins))
+    slot = F.floor(F.try_divide(x - lo, hi - lo) * F.lit(float(bins)))
+    counted = (
+        df.where(x.isNotNull())
+        .groupBy(F.least(F.coalesce(slot, F.lit(0)), F.lit(bins - 1)).alias("bin"))
+        .agg(F.count("*").alias("frequency"))
     )
-    # The bounds are scalar subqueries: Spark folds them into one aggregate.
-    lo = values.agg(F.min("x")).scalar()
-    hi = values.agg(F.max("x")).scalar()
-    avg = values.agg(F.sum(F.col("x") * F.col("n")) / F.sum("n")).scalar()
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    slot = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(bins)))
-    placed = (
-        values.withColumns({"lo": lo, "hi": hi})
-        .withColumn(
-            "bin",
-            F.when(F.col("hi") == F.col("lo"), F.lit(0).cast("long")).otherwise(
-                F.least(slot, F.lit(bins - 1))
-            ),
-        )
-        .groupBy("bin")
-        .agg(F.sum("n").alias("frequency"))
-    )
-    frame = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return (
-        frame.join(placed, "bin", "left")
-        .withColumns({"lo": lo, "hi": hi, "mean_value": avg})
-        .select(
-            "bin",
-            (F.col("lo") + F.col("bin") * width).alias("bin_from"),
-            (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_to"),
-            F.coalesce("frequency", F.lit(0).cast("long")).alias("frequency"),
-            "mean_value",
-        )
+    frame = local_frame(df.sparkSession, [(i,) for i in range(bins)], "bin bigint")
+    return frame.join(counted, "bin", "left").select(
+        "bin",
+        (lo + F.col("bin") * width).alias("bin_from"),
+        (lo + (F.col("bin") + 1) * width).alias("bin_to"),
+        F.coalesce("frequency", F.lit(0)).alias("frequency"),
+        F.lit(stats.mean).cast("double").alias("mean_value"),
     )
 
 

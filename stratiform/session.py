@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings an operator relies on when keys are skewed or layouts are rewritten.
 ADAPTIVE_CONF = {
@@ -34,6 +38,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def local_frame(
+    spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str
+) -> DataFrame:
+    """A few rows as a local relation.
+
+    Going through Arrow lets the planner see the size, which it does not for rows
+    handed over one by one; a join can then tell whether to broadcast them.
+    """
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(struct)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), struct)
+
+
 def _shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -57,7 +75,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/stratiform/{label}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df):
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder, so that lost executors lose no data."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:

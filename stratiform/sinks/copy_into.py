@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform.session import local_frame
 from stratiform.sources.files import read_source
 from stratiform.sources.inventory import list_files
 
@@ -24,7 +25,7 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _LEDGER_SCHEMA)
+        return local_frame(spark, [], _LEDGER_SCHEMA)
 
 
 def _new_files(spark: SparkSession, src: str, pattern: str, ledger: DataFrame) -> Iterator[str]:
@@ -62,7 +63,7 @@ def copy_into(
             schema = spark.read.parquet(dst).drop(BATCH_COLUMN).schema
         rows = read_source(spark, list(paths), fmt, schema, options)
         rows.write.mode("overwrite").parquet(f"{dst}/{BATCH_COLUMN}={number}")
-        entries = spark.createDataFrame([(p, number) for p in paths], _LEDGER_SCHEMA)
+        entries = local_frame(spark, [(p, number) for p in paths], _LEDGER_SCHEMA)
         entries.coalesce(1).write.mode("append").parquet(ledger_path)
         loaded += len(paths)
         number += 1

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stratiform.functions.casts import cast_all_to_string
+from stratiform.session import local_frame
 from stratiform.sources.inventory import list_files
 
 # File endings that are read, and the reader each one needs.
@@ -122,9 +123,5 @@ def table(spark: SparkSession, name: str) -> DataFrame:
 def reference_df(
     spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str
 ) -> DataFrame:
-    """A small lookup table with an explicit schema.
-
-    Spark keeps it as a local relation of known size, so the planner can tell
-    by itself whether a join may broadcast it.
-    """
-    return spark.createDataFrame(rows, schema)
+    """A small lookup table with an explicit schema."""
+    return local_frame(spark, rows, schema)

@@ -47,6 +47,11 @@ def test_lookups_are_broadcast_when_small(spark, sf_dir):
     assert "BroadcastHashJoin" in text and "CartesianProduct" not in text
 
 
+def test_lookups_given_as_rows_are_broadcast(spark, sf_dir):
+    text = plan(catalog.queries()["feat_pair_distance"](spark, sf_dir))
+    assert "SortMergeJoin" not in text and "LocalTableScan" in text
+
+
 def test_null_check_scans_once(spark, sf_dir):
     limits = {c: 0.0 for c in ("o_orderkey", "o_custkey", "o_orderdate")}
     assert plan(null_pct(star_table(spark, sf_dir, "orders"), limits)).count("FileScan") == 1
