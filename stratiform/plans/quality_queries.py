@@ -259,9 +259,7 @@ def _suite(spark, sf):
     )
 
 
-@query(
-    "dq_suite",
-    f"""WITH {_COUNTS}, m AS (
+_SUITE_SQL = f"""WITH {_COUNTS}, m AS (
           SELECT date_diff('microsecond', max(l_shipdate), TIMESTAMP '2001-12-31 00:00:00')
                  / CAST(3600000000 AS DOUBLE) AS age FROM lineitem)
         SELECT {
@@ -273,13 +271,15 @@ def _suite(spark, sf):
         UNION ALL SELECT 'null_percentage', 'silver', NULL, 'l_extendedprice', 0, 5, true
         UNION ALL SELECT 'duplicates', 'silver', NULL, 'l_orderkey,l_linenumber', 0, 0, true
         UNION ALL SELECT 'data_freshness', 'bronze', NULL, 'l_shipdate', round(age + 1e-9, 6),
-                         8760, age >= 0 AND age <= 8760 FROM m""",
-)
+                         8760, age >= 0 AND age <= 8760 FROM m"""
+
+
+@query("dq_suite", _SUITE_SQL)
 def dq_suite(spark, sf):
     return flat(_suite(spark, sf))
 
 
-@query("dq_history")
+@query("dq_history", f"SELECT s.* FROM ({_SUITE_SQL}) s, (VALUES (1), (2)) AS runs(n)")
 def dq_history(spark, sf):
     """Two runs kept in a table, and the latest results read back."""
     path = scratch_path(spark, "dq-history")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Columns of the trip view and the tables beyond line items that each one needs.
@@ -60,6 +60,11 @@ def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _money(ten_thousandths: Column) -> Column:
+    unit = F.lit("0.0001").cast("decimal(5,4)")
+    return (ten_thousandths.cast("decimal(18,0)") * unit).cast("decimal(18,4)")
+
+
 def trips(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = TRIP_COLUMNS
 ) -> DataFrame:
@@ -89,12 +94,13 @@ def trips(
     if "part" in needed:
         df = df.join(load("part"), F.col("l_partkey") == F.col("p_partkey"))
 
+    # Prices and rates have two decimals.  Counting in ten-thousandths keeps money
+    # exact, so that sums do not depend on their order, with one decimal operation.
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    rate = F.rint(F.col("l_tax") * 100).cast("bigint")
     fare = F.col("l_extendedprice").cast("decimal(18,2)")
-    # Decimal all the way: sums are then exact and independent of their order.
-    tip = (
-        F.col("l_extendedprice").cast("decimal(12,2)")
-        * (F.col("l_tax") + F.lit(0.0)).cast("decimal(4,2)")
-    ).cast("decimal(18,4)")
+    tip = _money(cents * rate)
+    total = _money(cents * 100 + cents * rate)
     computed = {
         "trip_id": lambda: F.concat_ws("-", "l_orderkey", "l_linenumber"),
         "pickup_datetime": lambda: F.col("o_orderdate"),
@@ -104,7 +110,7 @@ def trips(
         "trip_duration_min": lambda: F.datediff("l_shipdate", "o_orderdate").cast("double"),
         "fare_amount": lambda: fare,
         "tip_amount": lambda: tip,
-        "total_amount": lambda: (fare + tip).cast("decimal(18,4)"),
+        "total_amount": lambda: total,
         "payment_type": lambda: F.col("o_orderpriority"),
         "vendor": lambda: F.col("p_brand"),
     }
