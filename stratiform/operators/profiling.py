@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiform.config import ColumnRoles
 from stratiform.operators.quality import percent
 from stratiform.session import local_frame
 
@@ -233,3 +234,16 @@ def classify_columns(df: DataFrame) -> DataFrame:
     """Name, type and role of every column, from the schema alone."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
     return with_role(local_frame(df.sparkSession, rows, _COLUMN_LIST))
+
+
+def suggest_roles(df: DataFrame) -> ColumnRoles:
+    """The classification as settings to start from; reads no data."""
+    by_role: dict[str | None, list[str]] = {}
+    for row in classify_columns(df).orderBy("position").collect():
+        by_role.setdefault(row.role, []).append(row.column_name)
+    return ColumnRoles(
+        keys=by_role.get("key", []),
+        dates=by_role.get("date", []),
+        metrics=by_role.get("metric", []),
+        dimensions=by_role.get("dimension", []),
+    )

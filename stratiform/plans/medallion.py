@@ -5,16 +5,46 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from stratiform.config import ColumnRoles, TripMeasures, TripThresholds
-from stratiform.functions.audit import gold_metadata, metric_metadata, transform_metadata
+from stratiform.functions.audit import (
+    gold_metadata,
+    metric_metadata,
+    transform_metadata,
+    with_audit,
+    with_run_metadata,
+)
+from stratiform.functions.casts import cast_all_to_string
 from stratiform.functions.trip import AIRPORT_ZONES, derive_trip_columns, quality_filter
 from stratiform.operators import cleansing as cl
 from stratiform.operators import enrich as en
 from stratiform.operators import rollup as ru
 from stratiform.operators.dedup import latest_per_key
 from stratiform.operators.dimension import dimension, surrogate_key
+from stratiform.sinks import append_or_create
+from stratiform.sources import route_by_format
+
+
+def ingest_folder(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    partition_by: Sequence[str] = ("_ingestion_date",),
+    now: datetime | None = None,
+) -> list[str]:
+    """Append the Parquet and CSV files of a folder to their raw tables; returns these."""
+    routed = route_by_format(spark, root, table)
+    for name, df in routed.items():
+        append_or_create(with_audit(df, now), name, partition_by)
+    return list(routed)
+
+
+def to_bronze_text(
+    raw: DataFrame, year: str, run_id: str, now: datetime | None = None
+) -> DataFrame:
+    """A file scan as text columns, with the run's metadata."""
+    return cast_all_to_string(with_run_metadata(raw, year, run_id, now))
 
 
 def to_silver(

@@ -5,6 +5,7 @@ from stratiform.sinks.tables import (
     append_or_create,
     append_results,
     create_or_merge,
+    optimize_table,
     overwrite_table,
     write_gold,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "append_results",
     "copy_into",
     "create_or_merge",
+    "optimize_table",
     "overwrite_table",
     "write_gold",
 ]

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
@@ -61,7 +61,8 @@ def create_or_merge(
 
     If the keys include the partition columns, a row and its successor lie in the
     same partition, and only the partitions the source touches are rewritten.
-    Otherwise the whole table is.
+    Otherwise the merged rows go to a staging table, which then takes the name
+    over: the old rows stay readable until the new ones are complete.
     """
     if not (merge_mode and df.sparkSession.catalog.tableExists(table)):
         overwrite_table(df, table, partition_by, location)
@@ -78,15 +79,23 @@ def _merge_table(
     partition_by: Sequence[str],
     location: str | None,
 ) -> None:
-    """Write the merged rows to a staging table, which then takes the name over.
+    staging = _staging_name(table)
+    merged = upsert(df.sparkSession.table(table), df, keys)
+    overwrite_table(merged, staging, partition_by, location)
+    _take_over(df.sparkSession, staging, table)
 
-    The old rows stay readable until the new ones are complete.
-    """
-    spark = df.sparkSession
-    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
-    overwrite_table(upsert(spark.table(table), df, keys), staging, partition_by, location)
+
+def _staging_name(table: str) -> str:
+    return f"{table}_staging_{uuid.uuid4().hex[:12]}"
+
+
+def _take_over(spark: SparkSession, staging: str, table: str) -> None:
+    """Give a finished table the name of the one it replaces."""
     spark.sql(f"DROP TABLE {table}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        # Renaming may move the folders, but not every catalog moves its partitions along.
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
 def _merge_partitions(
@@ -132,3 +141,34 @@ def write_gold(
         writer = writer.option("path", location)
     writer.saveAsTable(table)
     analyze_table(df.sparkSession, table)
+
+
+def optimize_table(
+    spark: SparkSession,
+    table: str,
+    cluster_by: Sequence[str] = (),
+    where: str | None = None,
+    partition_by: Sequence[str] = (),
+    location: str | None = None,
+) -> None:
+    """Rewrite a table with evenly sized files, clustered if asked to.
+
+    ``where`` restricts the work to some rows; the others are copied.  Statistics
+    are stored afterwards.
+    """
+    df = spark.table(table)
+    chosen = F.lit(True) if where is None else F.coalesce(F.expr(where), F.lit(False))
+    rows = df.where(chosen)
+    if cluster_by:
+        rows = zorder(rows, cluster_by, within=partition_by)
+    else:
+        rows = even_partitions(rows, partition_by)
+    if where is not None:
+        rows = rows.unionByName(df.where(~chosen))
+    staging = _staging_name(table)
+    writer = rows.write.format("parquet").partitionBy(*partition_by)
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(staging)
+    _take_over(spark, staging, table)
+    analyze_table(spark, table)

@@ -288,3 +288,12 @@ def test_partition_merge_leaves_other_partitions_alone(spark, table):
     assert kept and all("p=x" in f for f in kept)
     create_or_merge(source.dropna(), table, keys, parts)
     assert spark.table(table).count() == 6
+
+
+def test_merge_of_a_partitioned_table_by_other_keys(spark, table):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, p string")
+    create_or_merge(df, table, ["k"], ["p"])
+    moved = spark.createDataFrame([(2, "B", "x")], df.schema)
+    for _ in range(2):
+        create_or_merge(moved, table, ["k"], ["p"])
+        assert rows(spark.table(table)) == [(1, "a", "x"), (2, "B", "x")]
