@@ -20,6 +20,15 @@ ZORDER_BITS = 6
 ZORDER_SAMPLE_ROWS = 8_192
 _SEED = 11
 
+_FIXED_WIDTH = {
+    T.BooleanType: 1,
+    T.ByteType: 1,
+    T.ShortType: 2,
+    T.IntegerType: 4,
+    T.FloatType: 4,
+    T.DateType: 4,
+}
+
 
 @contextmanager
 def partition_size(spark: SparkSession, target_bytes: int) -> Iterator[None]:
@@ -154,20 +163,35 @@ def zorder(
     return ranged.sortWithinPartitions(*by).select(*names)
 
 
+def _width(field: T.StructField) -> Column:
+    """Length of text and binary values; the size in bytes of other types."""
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
+        return F.length(col)
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.length(F.to_json(col))
+    if isinstance(field.dataType, T.DecimalType):
+        return F.lit(8 if field.dataType.precision <= 18 else 16)
+    return F.lit(_FIXED_WIDTH.get(type(field.dataType), 8))
+
+
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Least and greatest value, NULLs, distinct non-NULL values and text lengths."""
+    """Least and greatest value, NULLs, distinct non-NULL values, mean and greatest length.
+
+    Types of a fixed width report that as their length, as stored statistics do.
+    """
     fields = [f for f in df.schema if columns is None or f.name in columns]
     parts = []
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             c = F.to_json(c)
-        text = c.cast("string")
+        width = F.when(c.isNotNull(), _width(f))
         parts += [
             F.min(c).cast("string").alias(f"_lo{i}"),
             F.max(c).cast("string").alias(f"_hi{i}"),
-            F.avg(F.length(text)).alias(f"_avg{i}"),
-            F.max(F.length(text)).cast("long").alias(f"_max{i}"),
+            F.avg(width).alias(f"_avg{i}"),
+            F.max(width).cast("long").alias(f"_max{i}"),
         ]
     rows = [
         F.struct(

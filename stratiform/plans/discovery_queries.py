@@ -169,13 +169,18 @@ def dsc_date_ranges(spark, sf):
     return pf.date_ranges(lines)
 
 
+_WIDTHS = {"bigint": 8, "double": 8, "timestamp_ntz": 8, "int": 4}
+
+
 def _stats_sql(source: str, types: dict[str, str]) -> str:
+    def width(c: str, t: str) -> str:
+        return f"length({c})" if t == "string" else f"CASE WHEN {c} IS NOT NULL THEN {_WIDTHS[t]} END"
+
     rows = [
         f"""SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) - count({c}) AS null_count,
               count(DISTINCT {c}) AS distinct_count, CAST(min({c}) AS VARCHAR) AS min_value,
-              CAST(max({c}) AS VARCHAR) AS max_value,
-              {r(f"avg(length(CAST({c} AS VARCHAR)))")} AS avg_length,
-              max(length(CAST({c} AS VARCHAR))) AS max_length FROM {source}"""
+              CAST(max({c}) AS VARCHAR) AS max_value, {r(f"avg({width(c, t)})")} AS avg_length,
+              CAST(max({width(c, t)}) AS BIGINT) AS max_length FROM {source}"""
         for c, t in types.items()
     ]
     return " UNION ALL ".join(rows)

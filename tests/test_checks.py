@@ -147,7 +147,7 @@ def test_date_ranges_without_dates(spark):
 def test_column_stats(spark):
     df = spark.createDataFrame([("bb", 1), ("a", None)], "s string, n int")
     got = {r.column_name: (r.min_value, r.max_value, r.null_count, r.distinct_count, r.max_length) for r in column_stats(df).collect()}
-    assert got == {"s": ("a", "bb", 0, 2, 2), "n": ("1", "1", 1, 1, 1)}
+    assert got == {"s": ("a", "bb", 0, 2, 2), "n": ("1", "1", 1, 1, 4)}
 
 
 def test_histogram_edges(spark):
