@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def clock(now: datetime | None = None) -> Column:
-    """The processing time: the query's start, or a fixed instant for reruns."""
-    return F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    """The processing time: the query's start, or a fixed instant for reruns.
+
+    An instant without a time zone is in UTC, wherever the driver runs.
+    """
+    if now is None:
+        return F.current_timestamp()
+    return F.lit(now if now.tzinfo else now.replace(tzinfo=UTC)).cast("timestamp")
 
 
 def with_audit(df: DataFrame, now: datetime | None = None) -> DataFrame:

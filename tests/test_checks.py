@@ -187,3 +187,18 @@ def test_daily_and_monthly_totals_agree(spark, sf_dir):
         for grain in ("daily", "monthly", "yearly")
     }
     assert totals["daily"] == totals["monthly"] == totals["yearly"]
+
+
+def test_now_without_a_zone_is_utc(spark, monkeypatch):
+    import time
+
+    from stratiform.functions.audit import clock
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        seconds = spark.range(1).select(F.unix_seconds(clock(NOW))).first()[0]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert seconds == 1_704_153_600
