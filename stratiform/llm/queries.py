@@ -7,14 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import quality_gbt, tensor_minhash
+from stratiform.llm import packing, quality_gbt, tensor_minhash, token_files
 from stratiform.llm.common import documents
+from stratiform.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer files are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written as packed blocks and read back."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(documents(spark, sf_dir), path, tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, path)
+
+
 def op8_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of boosted trees for every document."""
     docs = documents(spark, sf_dir)
@@ -23,10 +38,15 @@ def op8_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_gbt.BASE, "base_failed", "kept")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 2048 ids."""
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
 def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over four-word shingles at 0.8."""
     return tensor_minhash.near_duplicates(documents(spark, sf_dir), tensor_minhash.Banding(shingle=4))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op8_quality_gbt, op10_tensor_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_files, op8_quality_gbt, op9_packing, op10_tensor_minhash)}
 ORACLES: dict[str, str] = {}
