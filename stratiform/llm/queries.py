@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import packing, quality_gbt, tensor_minhash, token_files
+from stratiform.llm import mixing, packing, quality_gbt, sharding, tensor_minhash, token_files
 from stratiform.llm.common import documents
 from stratiform.session import scratch_path
 
@@ -23,6 +23,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and place, by bytes of its virtual slot."""
+    placed = sharding.shard_by_bytes(documents(spark, sf_dir), 24, scratch_path(spark, "slot-map"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written as packed blocks and read back."""
     path = scratch_path(spark, "token-files")
@@ -30,6 +39,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
+
+
 def op8_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of boosted trees for every document."""
     docs = documents(spark, sf_dir)
@@ -48,5 +62,5 @@ def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensor_minhash.near_duplicates(documents(spark, sf_dir), tensor_minhash.Banding(shingle=4))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_token_files, op8_quality_gbt, op9_packing, op10_tensor_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_virtual_slots, op2_token_files, op3_mixing, op8_quality_gbt, op9_packing, op10_tensor_minhash)}
 ORACLES: dict[str, str] = {}
