@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import mixing, packing, quality_gbt, sharding, tensor_minhash, token_files
+from stratiform.llm import fingerprints, mixing, packing, perspectives, pii, quality_gbt, sharding, tensor_minhash, token_files
 from stratiform.llm.common import documents
 from stratiform.session import scratch_path
 
@@ -44,6 +44,22 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).drop("source")
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with personal data replaced, and how much of each type."""
+    done = pii.replace_pii(documents(spark, sf_dir).select("doc_id", "text"), key="corpus")
+    return done.select("doc_id", "text", *(c.alias(n) for n, c in pii.counts(done).items()))
+
+
+def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation, from each participant's perspective."""
+    return perspectives.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
 def op8_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of boosted trees for every document."""
     docs = documents(spark, sf_dir)
@@ -62,5 +78,5 @@ def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensor_minhash.near_duplicates(documents(spark, sf_dir), tensor_minhash.Banding(shingle=4))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_virtual_slots, op2_token_files, op3_mixing, op8_quality_gbt, op9_packing, op10_tensor_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_virtual_slots, op2_token_files, op3_mixing, op4_pii_surrogates, op6_perspectives, op7_fingerprints, op8_quality_gbt, op9_packing, op10_tensor_minhash)}
 ORACLES: dict[str, str] = {}
