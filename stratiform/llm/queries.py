@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import fingerprints, mixing, packing, perspectives, pii, quality_gbt, sharding, tensor_minhash, token_files
+from stratiform.llm import fingerprints, mixing, packing, perspectives, pii, quality_gbt, sharding, suffix_dedup, tensor_minhash, token_files
 from stratiform.llm.common import documents
 from stratiform.session import scratch_path
 
@@ -50,6 +50,11 @@ def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", *(c.alias(n) for n, c in pii.counts(done).items()))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the strings of 100 bytes seen before."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn of every conversation, from each participant's perspective."""
     return perspectives.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -78,5 +83,19 @@ def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensor_minhash.near_duplicates(documents(spark, sf_dir), tensor_minhash.Banding(shingle=4))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_virtual_slots, op2_token_files, op3_mixing, op4_pii_surrogates, op6_perspectives, op7_fingerprints, op8_quality_gbt, op9_packing, op10_tensor_minhash)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_virtual_slots,
+        op2_token_files,
+        op3_mixing,
+        op4_pii_surrogates,
+        op5_suffix_dedup,
+        op6_perspectives,
+        op7_fingerprints,
+        op8_quality_gbt,
+        op9_packing,
+        op10_tensor_minhash,
+    )
+}
 ORACLES: dict[str, str] = {}
