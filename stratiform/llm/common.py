@@ -13,6 +13,9 @@ from stratiform.session import scratch_path
 # Words are maximal runs of anything but the six ASCII white-space bytes.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+# Bytes of an Arrow batch of texts.
+BATCH_BYTES = 8 * 1024 * 1024
+
 # Numpy works on slices of an Arrow batch (which Spark bounds by bytes), since it needs
 # a multiple of the text's size.
 SLICE_BYTES = 2 * 1024 * 1024
@@ -22,6 +25,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches, which Python workers hold two of, unless the session does.
+
+    The default bound is several times what a worker needs at once.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("b") == str(64 * 1024 * 1024):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to a table in the shared folder and read it back.
 
@@ -54,15 +67,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch between rows so that each part has about ``SLICE_BYTES`` of text."""
+def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch between rows so that each part has about ``size`` bytes of text."""
     import numpy as np
     import pyarrow.compute as pc
 
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.concatenate([[0], np.cumsum(sizes.astype("int64"))[:-1]]) // SLICE_BYTES
+    part = np.concatenate([[0], np.cumsum(sizes.astype("int64"))[:-1]]) // size
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges, edges[1:]):
         yield batch.slice(a, b - a)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import slices, staged
+from stratiform.llm.common import slices, small_batches, staged
 from stratiform.llm.textbits import ragged
 from stratiform.llm.tokens import Encoder, with_end
 from stratiform.session import local_frame
@@ -90,6 +90,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int
     Ids are those of the whole text followed by ``end_id``; a null text is an empty
     one.  Pieces are cut every ``capacity`` ids.
     """
+    small_batches(docs.sparkSession)
     columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

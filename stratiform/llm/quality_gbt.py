@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratiform.llm.common import slices
+from stratiform.llm.common import slices, small_batches
 from stratiform.llm.textbits import Prefix, Words, flat, repeated
 
 # At most this many labelled documents train the trees: those with the smallest hashes.
@@ -225,6 +225,7 @@ def training_table(docs: DataFrame, labels: DataFrame, label: str = "quality", r
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
+    small_batches(docs.sparkSession)
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "good")
     fields = ", ".join(f"{f} double" for f in FEATURES)
 
@@ -259,6 +260,7 @@ def score_quality(docs: DataFrame, forest: Forest | None, keep_from: float = KEE
     ``docs`` other than ``carry`` and ``text`` are not read.  Without a forest (no
     labels) the base rules decide alone, and ``score`` is null.
     """
+    small_batches(docs.sparkSession)
     kept_fields = [docs.schema[c] for c in carry]
     schema = T.StructType(
         [*kept_fields, *(T.StructField(c, T.LongType()) for c in BASE)]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import partitions_for, slices, staged
+from stratiform.llm.common import partitions_for, slices, small_batches, staged
 from stratiform.llm.textbits import Prefix, U, flat, mix, ragged
 
 LENGTH = 100
@@ -34,7 +34,13 @@ _RANGE = np.dtype([("low", "i4"), ("high", "i4"), ("at", "i4")])
 _FACTOR = np.dtype([("doc", "i8"), ("low", "i4"), ("bytes", "i4")])
 
 # Anchors are sorted and sent in lots of this many.
-LOT = 1_000_000
+LOT = 300_000
+
+# Suffixes take some ten numbers each; texts are worked on in slices of this size.
+SLICE = 512 * 1024
+
+# A partition's suffixes are dealt to this many arrays, built one after another.
+ARRAYS = 16
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
@@ -170,7 +176,7 @@ def _send_anchors(parts: int, length: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 gram, text, low, high, at = anchors(*flat(batch.column("text")), length)
                 if len(gram):
                     a = np.zeros(len(gram), _ANCHOR)
@@ -214,7 +220,7 @@ def _send_suffixes(parts: int, length: int):
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 data, offsets = flat(batch.column("text"))
                 ranges = [np.unique(np.frombuffer(b"".join(x), _RANGE)) for x in batch.column("hits").to_pylist()]
                 text = np.repeat(np.arange(len(ranges)), list(map(len, ranges)))
@@ -244,7 +250,7 @@ def _send_suffixes(parts: int, length: int):
                 f = np.empty(len(first), _FACTOR)
                 f["doc"], f["low"], f["bytes"] = doc[text[own]], inner[first], inner[last] - inner[first] + length
                 gram_at = offsets[text[own]] + r["at"][own]
-                part = (mix(prefix.of(gram_at, gram_at + GRAM)) % U(parts)).astype(np.int64)
+                part = (mix(prefix.of(gram_at, gram_at + GRAM)) % U(parts * ARRAYS)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 f, part = f[order], part[order]
                 begin = (offsets[text[own]] + inner[first])[order]
@@ -261,20 +267,13 @@ def _send_suffixes(parts: int, length: int):
 def _match_suffixes(length: int):
     """Suffixes of a partition with an earlier match."""
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def array(blobs: list[bytes]) -> pa.RecordBatch:
         factors, bodies = [], []
-        for batch in batches:
-            own = batch.column("part").to_numpy()
-            if (own < 0).any():
-                yield batch.filter(pa.array(own < 0))
-            for blob in batch.filter(pa.array(own >= 0)).column("blob").to_pylist():
-                n = int(np.frombuffer(blob, np.int64, 1)[0])
-                factors.append(np.frombuffer(blob, _FACTOR, n, 8))
-                bodies.append(np.frombuffer(blob, np.uint8, offset=8 + n * _FACTOR.itemsize))
-        if not factors:
-            return
+        for blob in blobs:
+            n = int(np.frombuffer(blob, np.int64, 1)[0])
+            factors.append(np.frombuffer(blob, _FACTOR, n, 8))
+            bodies.append(np.frombuffer(blob, np.uint8, offset=8 + n * _FACTOR.itemsize))
         f, data = np.concatenate(factors), np.concatenate(bodies)
-        del factors, bodies
         size = f["bytes"].astype(np.int64)
         n = size - length + 1
         of = np.repeat(np.arange(len(f)), n)
@@ -286,7 +285,19 @@ def _match_suffixes(length: int):
         first, last = _runs(inner, of)
         spans = np.empty(len(first), np.dtype([("low", "i4"), ("high", "i4")]))
         spans["low"], spans["high"] = inner[first], inner[last]
-        yield _by_doc(f["doc"][of[first]], spans)
+        return _by_doc(f["doc"][of[first]], spans)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays: dict[int, list[bytes]] = {}
+        for batch in batches:
+            own = batch.column("part").to_numpy()
+            if (own < 0).any():
+                yield batch.filter(pa.array(own < 0))
+            for part, blob in zip(own.tolist(), batch.column("blob")):
+                if part >= 0:
+                    arrays.setdefault(part, []).append(blob.as_py())
+        while arrays:
+            yield array(arrays.popitem()[1])
 
     return match
 
@@ -296,7 +307,7 @@ def _removal(length: int):
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 data, offsets = flat(batch.column("text"))
                 out: list[list] = [[] for _ in schema[1:]]
                 for i, blobs in enumerate(batch.column("spans").to_pylist()):
@@ -330,6 +341,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = docs.select(F.coalesce("doc_id", F.lit(least)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     if not texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))
+    small_batches(docs.sparkSession)
     parts = partitions_for(docs, 8 * 1024 * 1024)
     hits = (
         texts.mapInArrow(_send_anchors(parts, length), _ROWS)
@@ -342,7 +354,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = (
         joined.where("hits is not null")
         .mapInArrow(_send_suffixes(parts, length), _ROWS)
-        .repartition(parts, F.when(F.col("part") >= 0, F.col("part")).otherwise(F.xxhash64("doc")))
+        .repartition(parts, F.when(F.col("part") >= 0, F.floor(F.col("part") / ARRAYS)).otherwise(F.xxhash64("doc")))
         .mapInArrow(_match_suffixes(length), _ROWS)
         .groupBy(F.col("doc").alias("doc_id"))
         .agg(F.collect_list("blob").alias("spans"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import partitions_for, slices
+from stratiform.llm.common import partitions_for, slices, small_batches
 from stratiform.llm.textbits import ragged
 from stratiform.llm.tokens import Encoder, with_end
 
@@ -171,6 +171,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 )
                 seq += 1
 
+    small_batches(docs.sparkSession)
     parts = partitions_for(docs, 64 * 1024 * 1024)
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(segments, "part int, seq int, n_ids long, segment binary").write.option(
