@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import components, partitions_for, slices, staged
+from stratiform.llm.common import components, partitions_for, slices, small_batches, staged
 from stratiform.llm.textbits import LOWER, Prefix, U, Words, flat, mix, ragged
 
 
@@ -31,6 +31,7 @@ class Banding:
     bands: int = 12  # in each of the two collections
     rows: int = 2  # minhashes in a band
     bits: int = 512  # parity bits that bound the size of a difference
+    more_bits: int = 4096  # the same for the second round
 
     @property
     def entry(self) -> np.dtype:
@@ -185,8 +186,8 @@ def _runs(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 def _meet(b: Banding):
     """Candidate pairs of a shuffle partition, and the tables that pairs with one member don't settle.
 
-    In every table the smallest set is paired with all others.  Tables of three and
-    more members are passed on with all members, for the second round.
+    In every table the smallest set is paired with all others.  For the second round,
+    members of tables of three and more are passed on under the first half of the key.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,10 +216,10 @@ def _meet(b: Banding):
             x, y = e["doc"][x[linked]], e["doc"][y[linked]]
             pairs.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
             big = length >= 3
-            table = np.repeat(key[order[begins[big]]].view(np.int64), length[big])
-            tables.append((table, e["doc"][order[ragged(begins[big], length[big])]]))
+            tables.append(order[ragged(begins[big], length[big])])
         found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        table, doc = (np.concatenate(c) for c in zip(*tables)) if tables else (np.zeros(0, np.int64),) * 2
+        own = np.unique(np.concatenate(tables)) if tables else np.zeros(0, np.int64)
+        table, doc = e["left"][own].view(np.int64), e["doc"][own]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([np.zeros(len(found), np.int64), table])),
@@ -236,24 +237,32 @@ def _cross(b: Banding, at_once: int = 2048):
     """Pairs across components that meet in a table of the second round, block by block."""
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ("tab", "doc_id", "n", "component_id")
-        got = [(*(batch.column(c).to_numpy() for c in columns), batch.column("parity").to_pylist()) for batch in batches]
+        plain, packed = ("tab", "doc_id", "n", "component_id"), ("right", "parity")
+        got = [
+            (*(batch.column(c).to_numpy() for c in plain), *(b"".join(batch.column(c).to_pylist()) for c in packed))
+            for batch in batches
+            if batch.num_rows
+        ]
         if not got:
             return
         tab, doc, n, comp = (np.concatenate([g[i] for g in got]) for i in range(4))
-        parity = np.frombuffer(b"".join(x for g in got for x in g[4]), U).reshape(len(doc), -1)
+        right, parity = (np.frombuffer(b"".join(g[i] for g in got), U).reshape(len(doc), -1) for i in (4, 5))
+        del got
         order = np.lexsort((n, tab))
-        tab, doc, n, comp, parity = tab[order], doc[order], n[order], comp[order], parity[order]
+        tab, doc, n, comp = tab[order], doc[order], n[order], comp[order]
         for begin, length in zip(*_runs(tab, 2)):
             end = begin + length
             for i in range(begin, end - 1):
                 # Sorted by size: partners end where sets become too large.
                 stop = begin + np.searchsorted(n[begin:end], n[i] * 100 // b.similarity, "right")
                 for k in range(i + 1, stop, at_once):
-                    s = slice(k, min(k + at_once, stop))
-                    ok = (comp[s] != comp[i]) & may_link(n[i : i + 1], n[s], parity[i : i + 1], parity[s], b.similarity)
-                    if ok.any():
-                        y = doc[s][ok]
+                    s = np.arange(k, min(k + at_once, stop))
+                    s = s[comp[s] != comp[i]]
+                    s = s[(right[order[s]] == right[order[i]]).any(axis=1)]
+                    one = order[i : i + 1]
+                    s = s[may_link(n[i : i + 1], n[s], parity[one], parity[order[s]], b.similarity)]
+                    if len(s):
+                        y = doc[s]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[i], y)), pa.array(np.maximum(doc[i], y))], ["a", "b"])
 
     return cross
@@ -291,6 +300,7 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     across components, so that a table adds links and never all of its pairs.
     """
     b = banding or Banding()
+    small_batches(docs.sparkSession)
     parts = partitions_for(docs, 8 * 1024 * 1024)
     known = docs.where("doc_id is not null")
     every = staged(sketches(known, b), "sketches")
@@ -314,17 +324,24 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
                 values, sizes = shingle_sets(batch.column("text"), b.shingle)
                 ends = np.cumsum(sizes)
                 members = [values[e - n : e].tobytes() for e, n in zip(ends, sizes)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(members, pa.binary())], ["doc_id", "members"])
+                parity = [x.tobytes() for x in _parity(values, sizes, b.more_bits)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(members, pa.binary()), pa.array(parity, pa.binary())], ["doc_id", "members", "parity"]
+                )
 
     texts = known.select("doc_id", "text").join(candidates, "doc_id", "left_semi")
-    sets = staged(texts.mapInArrow(collect_sets, "doc_id long, members binary"), "sets")
+    sets = staged(texts.mapInArrow(collect_sets, "doc_id long, members binary, parity binary"), "sets")
     links = staged(_verify(pairs, sets, b), "links")
     labels = components(links)
     # Second round: tables that still hold more than one component.
     labelled = tables.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     mixed = labelled.groupBy("tab").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y")).where("x <> y")
-    parities = reps.select("doc_id", "n", F.substring("sketch", 16 * b.bands + 1, b.bits // 8).alias("parity"))
-    open_tables = labelled.join(mixed.select("tab"), "tab", "left_semi").join(parities, "doc_id")
+    rights = reps.select("doc_id", "n", F.substring("sketch", 8 * b.bands + 1, 8 * b.bands).alias("right"))
+    open_tables = (
+        labelled.join(mixed.select("tab"), "tab", "left_semi")
+        .join(rights, "doc_id")
+        .join(sets.select("doc_id", "parity"), "doc_id")
+    )
     more = (
         open_tables.repartition(parts, "tab")
         .mapInArrow(_cross(b), "a long, b long")
