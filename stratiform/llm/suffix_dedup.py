@@ -31,7 +31,7 @@ GRAM = 32  # bytes of the substrings that strings are dealt by
 
 _ANCHOR = np.dtype([("gram", "u8"), ("doc", "i8"), ("low", "i4"), ("high", "i4"), ("at", "i4"), ("again", "u1")])
 _RANGE = np.dtype([("low", "i4"), ("high", "i4"), ("at", "i4")])
-_FACTOR = np.dtype([("doc", "i8"), ("low", "i4"), ("bytes", "i4")])
+_FACTOR = np.dtype([("doc", "i8"), ("low", "i4"), ("bytes", "i4"), ("array", "i4")])
 
 # Anchors are sorted and sent in lots of this many.
 LOT = 300_000
@@ -250,7 +250,9 @@ def _send_suffixes(parts: int, length: int):
                 f = np.empty(len(first), _FACTOR)
                 f["doc"], f["low"], f["bytes"] = doc[text[own]], inner[first], inner[last] - inner[first] + length
                 gram_at = offsets[text[own]] + r["at"][own]
-                part = (mix(prefix.of(gram_at, gram_at + GRAM)) % U(parts * ARRAYS)).astype(np.int64)
+                cell = mix(prefix.of(gram_at, gram_at + GRAM)) % U(parts * ARRAYS)
+                f["array"] = cell // U(parts)
+                part = (cell % U(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 f, part = f[order], part[order]
                 begin = (offsets[text[own]] + inner[first])[order]
@@ -267,14 +269,9 @@ def _send_suffixes(parts: int, length: int):
 def _match_suffixes(length: int):
     """Suffixes of a partition with an earlier match."""
 
-    def array(blobs: list[bytes]) -> pa.RecordBatch:
-        factors, bodies = [], []
-        for blob in blobs:
-            n = int(np.frombuffer(blob, np.int64, 1)[0])
-            factors.append(np.frombuffer(blob, _FACTOR, n, 8))
-            bodies.append(np.frombuffer(blob, np.uint8, offset=8 + n * _FACTOR.itemsize))
-        f, data = np.concatenate(factors), np.concatenate(bodies)
+    def array(f: np.ndarray, data: np.ndarray, begin: np.ndarray) -> pa.RecordBatch:
         size = f["bytes"].astype(np.int64)
+        data = data[ragged(begin, size)]
         n = size - length + 1
         of = np.repeat(np.arange(len(f)), n)
         start = ragged(np.cumsum(size) - size, n)
@@ -288,16 +285,24 @@ def _match_suffixes(length: int):
         return _by_doc(f["doc"][of[first]], spans)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays: dict[int, list[bytes]] = {}
+        factors, bodies = [], []
         for batch in batches:
             own = batch.column("part").to_numpy()
             if (own < 0).any():
                 yield batch.filter(pa.array(own < 0))
-            for part, blob in zip(own.tolist(), batch.column("blob")):
-                if part >= 0:
-                    arrays.setdefault(part, []).append(blob.as_py())
-        while arrays:
-            yield array(arrays.popitem()[1])
+            for blob in batch.filter(pa.array(own >= 0)).column("blob").to_pylist():
+                n = int(np.frombuffer(blob, np.int64, 1)[0])
+                factors.append(np.frombuffer(blob, _FACTOR, n, 8))
+                bodies.append(np.frombuffer(blob, np.uint8, offset=8 + n * _FACTOR.itemsize))
+        if not factors:
+            return
+        f, data = np.concatenate(factors), np.concatenate(bodies)
+        del factors, bodies
+        begin = np.cumsum(f["bytes"].astype(np.int64)) - f["bytes"]
+        for k in range(ARRAYS):
+            own = np.flatnonzero(f["array"] == k)
+            if len(own):
+                yield array(f[own], data, begin[own])
 
     return match
 
@@ -354,7 +359,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = (
         joined.where("hits is not null")
         .mapInArrow(_send_suffixes(parts, length), _ROWS)
-        .repartition(parts, F.when(F.col("part") >= 0, F.floor(F.col("part") / ARRAYS)).otherwise(F.xxhash64("doc")))
+        .repartition(parts, F.when(F.col("part") >= 0, F.col("part")).otherwise(F.xxhash64("doc")))
         .mapInArrow(_match_suffixes(length), _ROWS)
         .groupBy(F.col("doc").alias("doc_id"))
         .agg(F.collect_list("blob").alias("spans"))
