@@ -233,13 +233,21 @@ def _meet(b: Banding):
     return meet
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    return len(np.intersect1d(x, y, assume_unique=True))
+
+
 def _cross(b: Banding, at_once: int = 2048):
-    """Pairs across components that meet in a table of the second round, block by block."""
+    """Links across components that meet in a table of the second round, block by block.
+
+    Sets are at hand, so that only links leave the task.  A link joins its components,
+    whose members are not compared again.
+    """
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, packed = ("tab", "doc_id", "n", "component_id"), ("right", "parity")
         got = [
-            (*(batch.column(c).to_numpy() for c in plain), *(b"".join(batch.column(c).to_pylist()) for c in packed))
+            (*(batch.column(c).to_numpy() for c in plain), *(b"".join(batch.column(c).to_pylist()) for c in packed), batch.column("members").to_pylist())
             for batch in batches
             if batch.num_rows
         ]
@@ -247,6 +255,7 @@ def _cross(b: Banding, at_once: int = 2048):
             return
         tab, doc, n, comp = (np.concatenate([g[i] for g in got]) for i in range(4))
         right, parity = (np.frombuffer(b"".join(g[i] for g in got), U).reshape(len(doc), -1) for i in (4, 5))
+        members = [np.frombuffer(x, U) for g in got for x in g[6]]
         del got
         order = np.lexsort((n, tab))
         tab, doc, n, comp = tab[order], doc[order], n[order], comp[order]
@@ -261,9 +270,13 @@ def _cross(b: Banding, at_once: int = 2048):
                     s = s[(right[order[s]] == right[order[i]]).any(axis=1)]
                     one = order[i : i + 1]
                     s = s[may_link(n[i : i + 1], n[s], parity[one], parity[order[s]], b.similarity)]
-                    if len(s):
-                        y = doc[s]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[i], y)), pa.array(np.maximum(doc[i], y))], ["a", "b"])
+                    for j in s.tolist():
+                        if comp[i] == comp[j]:
+                            continue
+                        both = _common(members[order[i]], members[order[j]])
+                        if 100 * both >= b.similarity * (n[i] + n[j] - both):
+                            comp[begin:end][comp[begin:end] == comp[j]] = comp[i]
+                            yield pa.RecordBatch.from_arrays([pa.array([min(doc[i], doc[j])]), pa.array([max(doc[i], doc[j])])], ["a", "b"])
 
     return cross
 
@@ -276,7 +289,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, b: Banding) -> DataFrame:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
                 x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                both = _common(x, y)
                 keep.append(100 * both >= b.similarity * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -340,15 +353,10 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     open_tables = (
         labelled.join(mixed.select("tab"), "tab", "left_semi")
         .join(rights, "doc_id")
-        .join(sets.select("doc_id", "parity"), "doc_id")
-    )
-    more = (
-        open_tables.repartition(parts, "tab")
-        .mapInArrow(_cross(b), "a long, b long")
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+        .join(sets.select("doc_id", "parity", "members"), "doc_id")
     )
-    links = links.unionAll(staged(_verify(more, sets, b), "links"))
+    more = open_tables.repartition(parts, "tab").mapInArrow(_cross(b), "a long, b long")
+    links = links.unionAll(staged(more.distinct(), "links"))
     # Rows of one doc_id with different texts are different classes of one document.
     same_id = classes.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.unionAll(same_id))
