@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratiform.session import reliable_checkpoint
-
-# Dimensions up to this size are numbered by one sorted task.
-SINGLE_TASK_ROWS = 50_000
+from stratiform.session import partitions_of, reliable_checkpoint
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
@@ -24,15 +21,11 @@ def dimension(
     return df.select(*columns).distinct()
 
 
-def _number_in_one_task(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return dim.withColumn(
-        "dimension_key", F.row_number().over(Window.orderBy(*columns)).cast("long")
-    )
-
-
 def _number_by_range(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Sort by range, then add the sizes of the ranges before to the local position."""
-    ranged = dim.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    dim = reliable_checkpoint(dim)  # bounds are sampled first, then the rows are dealt
+    ranges = partitions_of(dim)
+    ranged = dim.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
     numbered = ranged.withColumn("_id", F.monotonically_increasing_id())
     # Range bounds come from a sample, so they have to be drawn once for both uses.
     numbered = reliable_checkpoint(numbered).withColumn(
@@ -52,14 +45,10 @@ def _number_by_range(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def surrogate_key(
-    dim: DataFrame, columns: Sequence[str], single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def surrogate_key(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``dimension_key``: 1, 2, ... in the order of ``columns``, NULLs first.
 
-    ``dim`` holds each combination once.  It is computed once and kept in the
-    shared folder; its size then decides how it gets numbered.
+    ``dim`` holds each combination once.  It is dealt by ranges of the columns, one of
+    about 128 MB or more of them, and kept in the shared folder before it is numbered.
     """
-    dim = reliable_checkpoint(dim)
-    small = dim.count() <= single_task_rows
-    return (_number_in_one_task if small else _number_by_range)(dim, columns)
+    return _number_by_range(dim, columns)

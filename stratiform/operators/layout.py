@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.operators.profiling import profile
-from stratiform.session import reliable_checkpoint
+from stratiform.session import partitions_of, reliable_checkpoint
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 _ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -155,11 +155,8 @@ def zorder(
     df, identity = _with_row_identity(df)
     keyed = df.select("*", z_value(df, columns, bits).alias("_z"), F.xxhash64(identity).alias("_spread"))
     by = [*within, "_z", "_spread"]
-    ranged = (
-        keyed.repartitionByRange(*by)
-        if partitions is None
-        else keyed.repartitionByRange(partitions, *by)
-    )
+    # Adaptive execution can merge ranges but never adds any.
+    ranged = keyed.repartitionByRange(partitions or partitions_of(df), *by)
     return ranged.sortWithinPartitions(*by).select(*names)
 
 

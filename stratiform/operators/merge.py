@@ -12,6 +12,18 @@ class AmbiguousMatch(ValueError):
     """Several source rows want to update the same target row."""
 
 
+class RepeatedKey(ValueError):
+    """A frame that should hold each key once holds one twice."""
+
+
+def check_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
+    """Raise when two rows share a complete key; runs one aggregate over the keys."""
+    named = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    hit = named.where(F.col("_n") > 1).drop("_n").take(1)
+    if hit:
+        raise RepeatedKey(f"{what} repeats key {hit[0].asDict()}")
+
+
 def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a target row has more than one source row; runs a job."""
     repeated = (
@@ -77,8 +89,11 @@ def snapshot_diff(
 ) -> DataFrame:
     """Rows inserted, updated or deleted between two snapshots, with ``change_type``.
 
-    Deleted rows carry their old values, the others their new ones.
+    Deleted rows carry their old values, the others their new ones.  Either snapshot
+    holds a key once; a repeated one raises, for it would pair with all its namesakes.
     """
+    check_unique(old, keys, "the old snapshot")
+    check_unique(new, keys, "the new snapshot")
     columns = [c for c in new.columns if c not in keys] if columns is None else list(columns)
     change = (
         F.when(F.col("old").isNull(), "insert")

@@ -39,8 +39,6 @@ MODERATE_RETENTION = 70.0
 # Share of rows that must carry the PASSED flag, in percent.
 MIN_FLAG_RATE = 95.0
 
-_LIMITED_COUNT = 100
-
 
 def percent(part: Column, whole: Column) -> Column:
     """``part`` of ``whole`` in percent; 0 when there is nothing to take a share of."""
@@ -334,16 +332,13 @@ def freshness(
 def min_rows(
     df: DataFrame, n: int = 1, name: str = "table", now: datetime | None = None
 ) -> DataFrame:
-    """Does the table have at least ``n`` rows?  ``metric`` does not count further."""
-    rows = df.select(F.lit(1))
-    # A limit sends up to n rows per partition to one task: fine for a few rows only.
-    rows = rows.limit(n) if n <= _LIMITED_COUNT else rows
-    counted = rows.agg(F.count("*").alias("rows"))
+    """Does the table have at least ``n`` rows?  ``metric`` is their number."""
+    counted = df.agg(F.count("*").alias("rows"))
     return counted.select(
         _result(
             "min_rows",
             name,
-            metric=F.least(F.col("rows"), F.lit(n)),
+            metric=F.col("rows"),
             threshold=float(n),
             passed=F.col("rows") >= n,
             now=now,

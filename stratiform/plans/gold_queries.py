@@ -299,4 +299,4 @@ def gld_dimension_key(spark, sf):
 def gld_dimension_key_ranged(spark, sf):
     """The same numbering without a single sorting task."""
     keys = ("l_partkey", "l_suppkey")
-    return surrogate_key(dimension(trips(spark, sf, keys), keys), keys, single_task_rows=0)
+    return surrogate_key(dimension(trips(spark, sf, keys), keys), keys)

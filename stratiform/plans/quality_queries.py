@@ -185,7 +185,7 @@ def dq_freshness(spark, sf):
 @query(
     "dq_min_rows",
     f"""SELECT {
-        _flat_sql("min_rows", "orders", None, "''", "least(count(*), 100)", 100,
+        _flat_sql("min_rows", "orders", None, "''", "count(*)", 100,
                   "count(*) >= 100")
     } FROM orders""",
 )
@@ -229,10 +229,11 @@ def dq_retention(spark, sf):
 @query(
     "dq_gold_presence",
     """SELECT 'min_rows' AS check_type, 'daily_metrics' AS table_name, CAST(NULL AS VARCHAR) AS target,
-              '' AS columns, CAST(least(count(*), 1) AS DOUBLE) AS metric,
-              CAST(1 AS DOUBLE) AS threshold, count(*) > 0 AS passed, NULL AS error FROM orders
-       UNION ALL SELECT 'min_rows', 'monthly_metrics', NULL, '', least(count(*), 1), 1,
-              count(*) > 0, NULL FROM orders
+              '' AS columns, CAST(count(DISTINCT CAST(o_orderdate AS DATE)) AS DOUBLE) AS metric,
+              CAST(1 AS DOUBLE) AS threshold, count(*) > 0 AS passed, NULL AS error
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+       UNION ALL SELECT 'min_rows', 'monthly_metrics', NULL, '', count(DISTINCT date_trunc('month', o_orderdate)), 1,
+              count(*) > 0, NULL FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        UNION ALL SELECT 'min_rows', 'passenger_metrics', NULL, '', NULL, 1, false,
               'table not found'""",
 )

@@ -44,7 +44,9 @@ _CELLS = ", ".join(
 
 @query("rpt_od_pivot", f"WITH {TRIPS}, od AS ({_OD}) SELECT pickup_zone, {_CELLS} FROM od GROUP BY 1")
 def rpt_od_pivot(spark, sf):
-    return rp.od_pivot(_od_trips(spark, sf), _DESTINATIONS)
+    # The matrix has a column for each nation, of which there are a few.
+    zones = [row.n_name for row in star_table(spark, sf, "nation").select("n_name").distinct().collect()]
+    return rp.od_pivot(_od_trips(spark, sf), sorted(zones))
 
 
 _MONTH_START = "CAST(CAST(date_trunc('month', pickup_date) AS DATE) AS VARCHAR) AS year_month"

@@ -231,16 +231,16 @@ def snk_upsert(spark, sf):
 
 @query("snk_create_or_merge", _UPSERTED)
 def snk_create_or_merge(spark, sf):
-    """A table created, then merged into twice with the same changes."""
+    """A table created, then merged into twice with the same changes, at one location."""
     path = scratch_path(spark, "merge")
     table = _table_name(path)
     target = _orders(spark, sf).select(*_UPSERT_COLUMNS)
-    create_or_merge(target, table, ["o_orderkey"], location=f"{path}/v0")
-    for version in (1, 2):
-        changes = _changes(spark, sf)
-        create_or_merge(changes, table, ["o_orderkey"], location=f"{path}/v{version}")
+    for rows in (target, _changes(spark, sf), _changes(spark, sf)):
+        create_or_merge(rows, table, ["o_orderkey"], location=path)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    files = described.first().data_type
     spark.sql(f"DROP TABLE {table}")
-    return spark.read.parquet(f"{path}/v2")
+    return spark.read.parquet(files)
 
 
 @query(

@@ -24,11 +24,27 @@ ADAPTIVE_CONF = {
 
 _PARTITION_BYTES = 128 * 1024 * 1024
 
+# The planner's stand-in for a size it does not know is the greatest long integer.
+_UNKNOWN_BYTES = 2**60
+
 
 def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
     """Initial shuffle partitions for a job over ``input_bytes``; AQE merges small ones."""
     wanted = -(-input_bytes // _PARTITION_BYTES)
-    return int(min(max(wanted, cores), 100_000))
+    return int(max(wanted, cores))
+
+
+def partitions_of(df: DataFrame) -> int:
+    """Partitions for dealing ``df`` out, from the planner's estimate of its bytes.
+
+    At least as many as the session's shuffles have: the estimate may be of a source
+    that is smaller than what is made of it.  Frames whose size is unknown count as
+    they are partitioned now.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    unknown = size >= _UNKNOWN_BYTES
+    return max(least, df.rdd.getNumPartitions() if unknown else shuffle_partitions_for(size, 1))
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -1,10 +1,14 @@
 """Writing catalog tables.
 
-``location`` makes a table external; leave it out for a managed one.
+``location`` makes a table external; leave it out for a managed one.  A rewrite keeps
+a table's partition columns and its kind.  Rewritten rows of an external table go to a
+folder ``version-...`` below its location; folders of earlier versions are left to the
+caller, whose readers may still be at work in them.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -19,6 +23,9 @@ from stratiform.operators.layout import analyze_table, even_partitions, zorder
 from stratiform.operators.merge import upsert
 from stratiform.session import reliable_checkpoint
 
+# The folder of one version of an external table's rows.
+_VERSION = re.compile("/version-[0-9a-f]{12}$")
+
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -66,12 +73,18 @@ def create_or_merge(
     """
     if not (merge_mode and df.sparkSession.catalog.tableExists(table)):
         overwrite_table(df, table, partition_by, location)
-    elif partition_by and set(partition_by) <= set(keys):
-        _merge_partitions(df, table, keys, partition_by)
+    elif own := _partitions_in_keys(df.sparkSession, table, keys):
+        _merge_partitions(df, table, keys, own)
     else:
         _merge_table(df, table, keys, partition_by, location)
 
 
+def _partitions_in_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> list[str]:
+    """The table's partition columns, if it has any and the keys include them all."""
+    own = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return own if set(own) <= set(keys) else []
+
+
 def _merge_table(
     df: DataFrame,
     table: str,
@@ -79,10 +92,30 @@ def _merge_table(
     partition_by: Sequence[str],
     location: str | None,
 ) -> None:
+    spark = df.sparkSession
     staging = _staging_name(table)
-    merged = upsert(df.sparkSession.table(table), df, keys)
+    partition_by, location = _layout(spark, table, partition_by, location)
+    merged = upsert(spark.table(table), df, keys)
     overwrite_table(merged, staging, partition_by, location)
-    _take_over(df.sparkSession, staging, table)
+    _take_over(spark, staging, table)
+
+
+def _layout(
+    spark: SparkSession, table: str, partition_by: Sequence[str], location: str | None
+) -> tuple[Sequence[str], str | None]:
+    """Partition columns and folder for new rows of a table, as the table has them now.
+
+    The rows of an external table go to a fresh folder below its location, never over
+    the files that are being read.
+    """
+    columns = spark.catalog.listColumns(table)
+    if not partition_by:
+        partition_by = [c.name for c in columns if c.isPartition]
+    if spark.catalog.getTable(table).tableType == "EXTERNAL" or location:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        base = location or described.first().data_type
+        location = f"{_VERSION.sub('', base.rstrip('/'))}/version-{uuid.uuid4().hex[:12]}"
+    return partition_by, location
 
 
 def _staging_name(table: str) -> str:
@@ -157,6 +190,7 @@ def optimize_table(
     are stored afterwards.
     """
     df = spark.table(table)
+    partition_by, location = _layout(spark, table, partition_by, location)
     chosen = F.lit(True) if where is None else F.coalesce(F.expr(where), F.lit(False))
     rows = df.where(chosen)
     if cluster_by:

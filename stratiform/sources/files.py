@@ -21,8 +21,6 @@ FORMAT_OF_EXTENSION: Mapping[str, str] = {
     "json": "json",
 }
 
-TREE_DEPTH = 5
-
 
 def read_source(
     spark: SparkSession,
@@ -34,12 +32,13 @@ def read_source(
     """Read files of one format.
 
     CSV files are taken to have a header.  Their types are inferred only when no
-    schema is given, because inference costs a second pass over the text.
+    schema is given, because inference costs a second pass over the text.  A header
+    that disagrees with the schema raises: columns are never taken by position.
     """
     reader = spark.read.format(fmt)
     settings: dict[str, Any] = {}
     if fmt == "csv":
-        settings = {"header": True, "inferSchema": schema is None}
+        settings = {"header": True, "inferSchema": schema is None, "enforceSchema": False}
     for key, value in {**settings, **(options or {})}.items():
         reader = reader.option(key, value)
     if schema is not None:
@@ -53,7 +52,7 @@ def file_formats(
     """Which of ``exts`` occur under ``root``; at most one entry per extension."""
     wanted = list(exts)
     rows = (
-        list_files(spark, root, "*.{" + ",".join(wanted) + "}", TREE_DEPTH)
+        list_files(spark, root, "*.{" + ",".join(wanted) + "}")
         .select("ext")
         .distinct()
         .collect()
@@ -71,7 +70,8 @@ def read_tree(
 ) -> DataFrame:
     """Read every data file below ``root``, whatever its format.
 
-    There is one scan per format found; the scans are united by column name.
+    There is one scan per format found, at any depth; the scans are united by column
+    name, and so are Parquet files whose columns differ.
     Formats disagree on types, so columns become text when several formats are
     mixed, unless ``as_strings`` says otherwise.
     """
@@ -92,6 +92,7 @@ def read_tree(
                 options={
                     "recursiveFileLookup": True,
                     "pathGlobFilter": glob,
+                    **({"mergeSchema": True} if fmt == "parquet" else {}),
                     **(options or {}),
                 },
             )

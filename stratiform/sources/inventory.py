@@ -35,12 +35,12 @@ def list_files(
     return listed if max_depth is None else listed.where(F.col("depth") <= max_depth)
 
 
-def file_inventory(spark: SparkSession, root: str, max_depth: int = 3) -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, max_depth: int | None = None) -> DataFrame:
     """Count, bytes and a few sample paths per extension, most frequent first.
 
-    ``max_depth`` counts folder levels read, the root being the first.
+    ``max_depth`` counts folder levels read, the root being the first; all by default.
     """
-    files = list_files(spark, root, max_depth=max_depth - 1)
+    files = list_files(spark, root, max_depth=None if max_depth is None else max_depth - 1)
     totals = files.groupBy("ext").agg(
         F.count("*").alias("file_count"), F.sum("length").alias("total_bytes")
     )

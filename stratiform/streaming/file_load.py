@@ -24,14 +24,14 @@ def load_new_files(
     audit: bool = False,
     trigger: Mapping[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Append files below ``src`` that the checkpoint has not seen.
+    """Append files below ``src``, at any depth, that the checkpoint has not seen.
 
     The default trigger takes what is there, in bounded batches, and ends; pass
     ``{"processingTime": "1 minute"}`` to keep running.  The Parquet sink records
     its commits, so a batch repeated after a failure adds no rows twice.
     """
     reader = spark.readStream.format(fmt).schema(schema)
-    settings = {"maxFilesPerTrigger": FILES_PER_TRIGGER, **(options or {})}
+    settings = {"maxFilesPerTrigger": FILES_PER_TRIGGER, "recursiveFileLookup": True, **(options or {})}
     for key, value in settings.items():
         reader = reader.option(key, value)
     rows = reader.load(src)

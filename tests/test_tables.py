@@ -12,7 +12,7 @@ from stratiform.operators.enrich import checked_broadcast, enrich
 from stratiform.operators.layout import compact, file_stats, layout_stats, z_value, zorder
 from stratiform.operators.merge import AmbiguousMatch, scd2, snapshot_diff, upsert
 from stratiform.session import scratch_path, shuffle_partitions_for
-from stratiform.sinks import append_or_create, copy_into, create_or_merge, write_gold
+from stratiform.sinks import append_or_create, copy_into, create_or_merge, optimize_table, write_gold
 from stratiform.sources import file_inventory, read_source, read_tree, route_by_format
 from stratiform.streaming import load_new_files
 
@@ -108,13 +108,12 @@ def test_scd2_twice_is_stable(spark):
     assert rows(scd2(once, snap, ["k"], ["v"], F.to_date(F.lit("2025-01-01")))) == rows(once)
 
 
-@pytest.mark.parametrize("limit", [0, 50_000])
-def test_surrogate_key_paths_agree(spark, limit):
+def test_surrogate_keys_follow_the_order(spark):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("a"),
         (F.col("id") % 7).cast("string").alias("b"),
     )
-    keyed = surrogate_key(dimension(df, ["a", "b"]), ["a", "b"], single_task_rows=limit)
+    keyed = surrogate_key(dimension(df, ["a", "b"]), ["a", "b"])
     got = keyed.orderBy("dimension_key").collect()
     assert [r.dimension_key for r in got] == list(range(1, len(got) + 1))
     assert [(r.a is not None, r.a, r.b) for r in got] == sorted((r.a is not None, r.a, r.b) for r in got)
@@ -297,3 +296,25 @@ def test_merge_of_a_partitioned_table_by_other_keys(spark, table):
     for _ in range(2):
         create_or_merge(moved, table, ["k"], ["p"])
         assert rows(spark.table(table)) == [(1, "a", "x"), (2, "B", "x")]
+
+
+def test_rewrites_keep_location_and_partitions(spark, table, tmp_path):
+    """Merging at one location never reads what it overwrites; optimising keeps the layout."""
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, p string, v int")
+    for v in (1, 2, 3):
+        create_or_merge(df.withColumn("v", F.lit(v)), table, ["k"], ["p"], location=str(tmp_path))
+    optimize_table(spark, table, cluster_by=["k"])
+    assert sorted(tuple(r) for r in spark.table(table).select("k", "p", "v").collect()) == [(1, "a", 3), (2, "b", 3)]
+    assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["p"]
+    assert spark.catalog.getTable(table).tableType == "EXTERNAL"
+    assert all(str(tmp_path) in f for f in spark.table(table).inputFiles())
+
+
+def test_snapshots_with_repeated_keys_raise(spark):
+    from stratiform.operators.merge import RepeatedKey, snapshot_diff
+
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k int, v string")
+    once = twice.where("v <> 'b'")
+    assert snapshot_diff(once, once, ["k"]).where("k is not null").count() == 0
+    with pytest.raises(RepeatedKey):
+        snapshot_diff(once, twice, ["k"])
