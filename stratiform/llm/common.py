@@ -16,6 +16,9 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 # Bytes of an Arrow batch of texts.
 BATCH_BYTES = 8 * 1024 * 1024
 
+# Beyond this the planner's estimate of a size is taken for a guess.
+UNKNOWN_BYTES = 2**50
+
 # Numpy works on slices of an Arrow batch (which Spark bounds by bytes), since it needs
 # a multiple of the text's size.
 SLICE_BYTES = 2 * 1024 * 1024
@@ -51,11 +54,16 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def partitions_for(df: DataFrame, bytes_each: int, at_least: int | None = None) -> int:
-    """Partitions for a shuffle of what is derived from ``df``; grows with its size."""
-    spark = df.sparkSession
-    least = at_least or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-size_in_bytes(df) // bytes_each))
+def partitions_for(docs: DataFrame, bytes_each: int) -> int:
+    """Partitions for a shuffle of what is derived from ``docs``; grows with its size.
+
+    Where the planner can't tell the size (it takes the greatest number for rows from
+    the driver, and products for joins), the texts are measured.
+    """
+    size = size_in_bytes(docs)
+    if size >= UNKNOWN_BYTES:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
 
 
 def let(value: Column, body) -> Column:
