@@ -31,6 +31,7 @@ GRAM = 32  # bytes of the substrings that strings are dealt by
 
 _ANCHOR = np.dtype([("gram", "u8"), ("doc", "i8"), ("low", "i4"), ("high", "i4"), ("at", "i4"), ("again", "u1")])
 _RANGE = np.dtype([("low", "i4"), ("high", "i4"), ("at", "i4")])
+_SPAN = np.dtype([("low", "i4"), ("high", "i4")])
 _FACTOR = np.dtype([("doc", "i8"), ("low", "i4"), ("bytes", "i4"), ("array", "i4")])
 
 # Anchors are sorted and sent in lots of this many.
@@ -131,23 +132,47 @@ def _runs(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate([[0], cut]), np.append(cut, len(values)) - 1
 
 
-def _by_doc(doc: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    """Rows packed into one value for each document: part -1 passes a shuffle untouched."""
-    order = np.argsort(doc, kind="stable")
-    doc, rows = doc[order], rows[order]
-    cut = np.flatnonzero(doc[1:] != doc[:-1]) + 1
-    first = np.concatenate([[0], cut]) if len(doc) else np.zeros(0, np.int64)
-    blobs = [x.tobytes() for x in np.split(rows, cut)] if len(doc) else []
-    return _rows(np.full(len(first), -1), doc[first], blobs)
+def _by_doc(doc: np.ndarray, rows: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Rows of documents, packed into one value for each partition of documents.
 
+    These partitions are numbered from -1 downwards and pass the matching untouched.
+    """
+    to = (mix(doc.astype(np.int64).view(U)) % U(parts)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    to, doc, rows = to[order], doc[order].astype(np.int64), rows[order]
+    cut = np.flatnonzero(to[1:] != to[:-1]) + 1
+    edges = [0, *cut.tolist(), len(to)] if len(to) else [0]
+    blobs = [np.int64(b - a).tobytes() + doc[a:b].tobytes() + rows[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+    return _rows(-1 - to[edges[:-1]], blobs)
 
-def _rows(part: np.ndarray, doc: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(part, pa.int64()), pa.array(doc, pa.int64()), pa.array(blobs, pa.binary())], ["part", "doc", "blob"]
-    )
+
+def _rows(part: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blobs, pa.binary())], ["part", "blob"])
 
 
-_ROWS = "part long, doc long, blob binary"
+_ROWS = "part long, blob binary"
+
+
+def _gather(kind: np.dtype):
+    """What ``_by_doc`` packed, as one row for each document."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, rows = [], []
+        for batch in batches:
+            for blob in batch.column("blob").to_pylist():
+                n = int(np.frombuffer(blob, np.int64, 1)[0])
+                docs.append(np.frombuffer(blob, np.int64, n, 8))
+                rows.append(np.frombuffer(blob, kind, n, 8 + 8 * n))
+        if not docs:
+            return
+        doc, row = np.concatenate(docs), np.concatenate(rows)
+        order = np.argsort(doc, kind="stable")
+        doc, row = doc[order], row[order]
+        cut = np.flatnonzero(doc[1:] != doc[:-1]) + 1
+        own = doc[np.concatenate([[0], cut])]
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([x.tobytes() for x in np.split(row, cut)], pa.binary())], ["doc_id", "found"])
+
+    return gather
 
 
 def _send_anchors(parts: int, length: int):
@@ -164,14 +189,14 @@ def _send_anchors(parts: int, length: int):
             hit = np.empty(int(twice.sum()), _RANGE)
             for c in _RANGE.names:
                 hit[c] = a[c][twice]
-            yield _by_doc(a["doc"][twice], hit)
+            yield _by_doc(a["doc"][twice], hit, parts)
         a = a[first]
         a["again"] = count > 1
         part = (mix(a["gram"]) % U(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         a, part = a[order], part[order]
         cut = np.flatnonzero(part[1:] != part[:-1]) + 1
-        yield _rows(part[np.concatenate([[0], cut])], np.full(len(cut) + 1, -1), [x.tobytes() for x in np.split(a, cut)])
+        yield _rows(part[np.concatenate([[0], cut])], [x.tobytes() for x in np.split(a, cut)])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
@@ -192,37 +217,43 @@ def _send_anchors(parts: int, length: int):
     return send
 
 
-def _match_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match_anchors(parts: int):
     """Ranges of substrings that several lots hold."""
-    blobs = []
-    for batch in batches:
-        own = batch.column("part").to_numpy()
-        if (own < 0).any():
-            yield batch.filter(pa.array(own < 0))
-        blobs += batch.filter(pa.array(own >= 0)).column("blob").to_pylist()
-    if not blobs:
-        return
-    a = np.frombuffer(b"".join(blobs), _ANCHOR)
-    order = np.argsort(a["gram"], kind="stable")
-    gram = a["gram"][order]
-    same = gram[1:] == gram[:-1]
-    shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    a = a[order[shared]]
-    a = a[a["again"] == 0]
-    hit = np.empty(len(a), _RANGE)
-    for c in _RANGE.names:
-        hit[c] = a[c]
-    yield _by_doc(a["doc"], hit)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = []
+        for batch in batches:
+            own = batch.column("part").to_numpy()
+            if (own < 0).any():
+                yield batch.filter(pa.array(own < 0))
+            blobs += batch.filter(pa.array(own >= 0)).column("blob").to_pylist()
+        if not blobs:
+            return
+        a = np.frombuffer(b"".join(blobs), _ANCHOR)
+        order = np.argsort(a["gram"], kind="stable")
+        gram = a["gram"][order]
+        same = gram[1:] == gram[:-1]
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        a = a[order[shared]]
+        a = a[a["again"] == 0]
+        hit = np.empty(len(a), _RANGE)
+        for c in _RANGE.names:
+            hit[c] = a[c]
+        yield _by_doc(a["doc"], hit, parts)
+
+    return match
 
 
 def _send_suffixes(parts: int, length: int):
     """Suffixes with an earlier match among those of the slice; the others, to be dealt."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs: list[np.ndarray] = []
+        found: list[np.ndarray] = []
         for whole in batches:
             for batch in slices(whole, size=SLICE):
                 data, offsets = flat(batch.column("text"))
-                ranges = [np.unique(np.frombuffer(b"".join(x), _RANGE)) for x in batch.column("hits").to_pylist()]
+                ranges = [np.unique(np.frombuffer(x, _RANGE)) for x in batch.column("hits").to_pylist()]
                 text = np.repeat(np.arange(len(ranges)), list(map(len, ranges)))
                 if not len(text):
                     continue
@@ -238,9 +269,13 @@ def _send_suffixes(parts: int, length: int):
                 longest = int(np.diff(offsets).max()) + 1
                 covered = _covered(data, prefix, start, rank[text[of]] * longest + inner, length)
                 first, last = _runs(inner[covered], of[covered])
-                spans = np.empty(len(first), np.dtype([("low", "i4"), ("high", "i4")]))
+                spans = np.empty(len(first), _SPAN)
                 spans["low"], spans["high"] = inner[covered][first], inner[covered][last]
-                yield _by_doc(doc[text[of[covered][first]]], spans)
+                docs.append(doc[text[of[covered][first]]])
+                found.append(spans)
+                if sum(map(len, found)) >= LOT:
+                    yield _by_doc(np.concatenate(docs), np.concatenate(found), parts)
+                    docs, found = [], []
                 # What is left: stretches of suffixes of one substring, with their bytes.
                 of, inner = of[~covered], inner[~covered]
                 first, last = _runs(inner, of)
@@ -261,15 +296,17 @@ def _send_suffixes(parts: int, length: int):
                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
                     body = data[ragged(begin[a:b], f["bytes"][a:b].astype(np.int64))]
                     blobs.append(np.int64(b - a).tobytes() + f[a:b].tobytes() + body.tobytes())
-                yield _rows(part[cut[:-1]], np.full(len(blobs), -1), blobs)
+                yield _rows(part[cut[:-1]], blobs)
+        if found:
+            yield _by_doc(np.concatenate(docs), np.concatenate(found), parts)
 
     return send
 
 
-def _match_suffixes(length: int):
+def _match_suffixes(parts: int, length: int):
     """Suffixes of a partition with an earlier match."""
 
-    def array(f: np.ndarray, data: np.ndarray, begin: np.ndarray) -> pa.RecordBatch:
+    def array(f: np.ndarray, data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = f["bytes"].astype(np.int64)
         data = data[ragged(begin, size)]
         n = size - length + 1
@@ -280,9 +317,9 @@ def _match_suffixes(length: int):
         covered = _covered(data, Prefix(data), start, rank[of] * (int(inner.max()) + 1) + inner, length)
         of, inner = of[covered], inner[covered]
         first, last = _runs(inner, of)
-        spans = np.empty(len(first), np.dtype([("low", "i4"), ("high", "i4")]))
+        spans = np.empty(len(first), _SPAN)
         spans["low"], spans["high"] = inner[first], inner[last]
-        return _by_doc(f["doc"][of[first]], spans)
+        return f["doc"][of[first]], spans
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, bodies = [], []
@@ -299,10 +336,9 @@ def _match_suffixes(length: int):
         f, data = np.concatenate(factors), np.concatenate(bodies)
         del factors, bodies
         begin = np.cumsum(f["bytes"].astype(np.int64)) - f["bytes"]
-        for k in range(ARRAYS):
-            own = np.flatnonzero(f["array"] == k)
-            if len(own):
-                yield array(f[own], data, begin[own])
+        of_array = [own for k in range(ARRAYS) if len(own := np.flatnonzero(f["array"] == k))]
+        docs, spans = zip(*(array(f[own], data, begin[own]) for own in of_array))
+        yield _by_doc(np.concatenate(docs), np.concatenate(spans), parts)
 
     return match
 
@@ -315,11 +351,11 @@ def _removal(length: int):
             for batch in slices(whole, size=SLICE):
                 data, offsets = flat(batch.column("text"))
                 out: list[list] = [[] for _ in schema[1:]]
-                for i, blobs in enumerate(batch.column("spans").to_pylist()):
+                for i, found in enumerate(batch.column("spans").to_pylist()):
                     text = data[offsets[i] : offsets[i + 1]]
                     edge = np.zeros(len(text) + 1, np.int64)
-                    if blobs:
-                        s = np.frombuffer(b"".join(blobs), "i4").reshape(-1, 2).astype(np.int64)
+                    if found:
+                        s = np.frombuffer(found, "i4").reshape(-1, 2).astype(np.int64)
                         np.add.at(edge, s[:, 0], 1)
                         np.add.at(edge, s[:, 1] + length, -1)
                     gone = np.cumsum(edge[:-1]) > 0
@@ -350,22 +386,24 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parts = partitions_for(docs, 8 * 1024 * 1024)
     hits = (
         texts.mapInArrow(_send_anchors(parts, length), _ROWS)
-        .repartition(parts, F.when(F.col("part") >= 0, F.col("part")).otherwise(F.xxhash64("doc")))
-        .mapInArrow(_match_anchors, _ROWS)
-        .groupBy(F.col("doc").alias("doc_id"))
-        .agg(F.collect_list("blob").alias("hits"))
+        .repartition(parts, "part")
+        .mapInArrow(_match_anchors(parts), _ROWS)
+        .repartition(parts, "part")
+        .mapInArrow(_gather(_RANGE), "doc_id long, found binary")
+        .withColumnRenamed("found", "hits")
     )
     joined = staged(texts.join(hits, "doc_id", "left"), "texts-with-hits")
     spans = (
         joined.where("hits is not null")
         .mapInArrow(_send_suffixes(parts, length), _ROWS)
-        .repartition(parts, F.when(F.col("part") >= 0, F.col("part")).otherwise(F.xxhash64("doc")))
-        .mapInArrow(_match_suffixes(length), _ROWS)
-        .groupBy(F.col("doc").alias("doc_id"))
-        .agg(F.collect_list("blob").alias("spans"))
+        .repartition(parts, "part")
+        .mapInArrow(_match_suffixes(parts, length), _ROWS)
+        .repartition(parts, "part")
+        .mapInArrow(_gather(_SPAN), "doc_id long, found binary")
+        .withColumnRenamed("found", "spans")
     )
     columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    clean = joined.where("hits is null").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("spans"))
+    clean = joined.where("hits is null").select("doc_id", "text", F.lit(None).cast("binary").alias("spans"))
     touched = joined.where("hits is not null").select("doc_id", "text").join(spans, "doc_id", "left")
     done = touched.unionAll(clean).mapInArrow(_removal(length), columns)
     return done.withColumn("doc_id", F.nullif("doc_id", F.lit(least)))
