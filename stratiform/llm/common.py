@@ -19,6 +19,9 @@ BATCH_BYTES = 8 * 1024 * 1024
 # Beyond this the planner's estimate of a size is taken for a guess.
 UNKNOWN_BYTES = 2**50
 
+# Whether Spark removes an execution's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Numpy works on slices of an Arrow batch (which Spark bounds by bytes), since it needs
 # a multiple of the text's size.
 SLICE_BYTES = 2 * 1024 * 1024
@@ -42,11 +45,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to a table in the shared folder and read it back.
 
     Whatever is computed from it later survives lost executors, and its source is
-    computed once.
+    computed once.  Nothing needs the shuffles behind it any more once it is written,
+    so their files go at once instead of when the driver next collects garbage.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def size_in_bytes(df: DataFrame) -> int:
