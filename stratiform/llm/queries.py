@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import fingerprints, mixing, packing, perspectives, pii, quality_gbt, sharding, suffix_dedup, tensor_minhash, token_files
+from stratiform.llm import fingerprints, mixing, packing, perspectives, pii, quality_gbt, sharding, sql, suffix_dedup, tensor_minhash, token_files
 from stratiform.llm.common import documents
 from stratiform.session import scratch_path
 
@@ -98,4 +98,4 @@ QUERIES: dict[str, Query] = {
         op10_tensor_minhash,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mixing": sql.MIXING, "op6_perspectives": sql.PERSPECTIVES}
