@@ -29,6 +29,13 @@ NUMBER_TYPES = ("int", "bigint", "long", "double", "float", "decimal")
 TEXT_TYPES = ("string", "varchar")
 
 _LONG_TEXT = 64
+
+# JSON that tells all values apart; by default it cuts times to milliseconds.
+_LOSSLESS_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreNullFields": "false",
+}
 _COLUMN_LIST = "position int, column_name string, data_type string"
 
 
@@ -42,7 +49,7 @@ def _group_key(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.BinaryType):
         col = F.hex(col)
     elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
-        col = F.to_json(col)
+        col = F.to_json(col, _LOSSLESS_JSON)
     elif not isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType)):
         return col
     digest = F.concat(F.lit("#"), F.sha2(col.cast("binary"), 256))
@@ -62,8 +69,8 @@ def _cell(field: T.StructField) -> tuple[Column, Column, Column]:
         whole = key.cast("bigint")
     elif isinstance(kind, T.DateType):
         whole = F.unix_date(key).cast("bigint")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        whole = F.unix_micros(key.cast("timestamp"))
+    elif isinstance(kind, T.TimestampType):
+        whole = F.unix_micros(key)
     elif isinstance(kind, (T.DoubleType, T.FloatType)):
         floating = key.cast("double")
     else:

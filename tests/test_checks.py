@@ -114,6 +114,25 @@ def test_profile_types_and_edges(spark, empty):
     assert [(r.total_rows, r.null_pct, r.distinct_count) for r in zero] == [(0, 0.0, 0)] * 3
 
 
+def test_times_are_told_apart_in_any_zone(spark):
+    """Local times that a clock change skips, and microseconds within nested values."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(
+            """SELECT CAST(t AS timestamp_ntz) AS local, struct(CAST(t AS timestamp_ntz) AS t) AS local_in,
+                      struct(CAST(u AS timestamp) AS t) AS instant_in
+               FROM VALUES ('2024-03-10 02:30:00', '2024-01-01 00:00:00.000001'),
+                           ('2024-03-10 03:30:00', '2024-01-01 00:00:00.000002'),
+                           ('2024-03-10 03:30:00.000001', '2024-01-01 00:00:00.000002') AS v(t, u)"""
+        )
+        got = {r.column_name: r.distinct_count for r in pf.profile(df).collect()}
+        assert got == {"local": 3, "local_in": 3, "instant_in": 2}
+        assert pf.exact_duplicates(df).first().duplicate_rows == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_long_text_is_compared_whole(spark):
     base = "x" * 5000
     df = spark.createDataFrame([(base + "1",), (base + "2",), (base + "1",)], "t string")
