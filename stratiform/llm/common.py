@@ -24,7 +24,7 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Numpy works on slices of an Arrow batch (which Spark bounds by bytes), since it needs
 # a multiple of the text's size.
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 256 * 1024
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,13 +95,21 @@ def _bands(minhashes: np.ndarray, rows: int) -> np.ndarray:
     return h
 
 
-def _parity(values: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
-    """For every set, the parity of how many members fall on each bit."""
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    cells = rows * bits + ((values >> U(17)) % U(bits)).astype(np.int64)
-    counts = np.bincount(cells, minlength=len(sizes) * bits) & 1
-    packed = np.packbits(counts.astype(np.uint8).reshape(len(sizes), bits), axis=1)
-    return np.ascontiguousarray(packed).view(U)
+def _parity(values: np.ndarray, sizes: np.ndarray, bits: int, at_once: int = 256) -> np.ndarray:
+    """For every set, the parity of how many members fall on each bit.
+
+    Counted for ``at_once`` sets at a time: a count takes far more room than its parity.
+    """
+    out = np.zeros((len(sizes), bits // 64), U)
+    ends = np.cumsum(sizes)
+    for a in range(0, len(sizes), at_once):
+        n = sizes[a : a + at_once]
+        own = values[ends[a] - n[0] : ends[a + len(n) - 1]]
+        cells = np.repeat(np.arange(len(n)), n) * bits + ((own >> U(17)) % U(bits)).astype(np.int64)
+        counts = np.bincount(cells, minlength=len(n) * bits) & 1
+        packed = np.packbits(counts.astype(np.uint8).reshape(len(n), bits), axis=1)
+        out[a : a + at_once] = np.ascontiguousarray(packed).view(U)
+    return out
 
 
 def sketches(docs: DataFrame, b: Banding) -> DataFrame:
