@@ -4,7 +4,8 @@ An entity is replaced by one of its own type and format.  Replacements are keyed
 permutations: letters stay letters of their alphabet and case, digits stay digits,
 card numbers keep their check digit right, given names keep gender and script.  An
 entity has the same replacement everywhere, and two entities never share one; a check
-over all replacements of the corpus confirms that, and takes a new key if it fails.
+over all replacements of the corpus confirms that, and draws anew, under a key of their
+own, for those that do share one.
 """
 
 from __future__ import annotations
@@ -53,12 +54,19 @@ _SPOKEN = (
 )
 _HEX = ("0123456789abcdef",)
 
+# Letters with several forms of one case (the Kelvin sign; final sigma), and the form taken.
+_FORMS = ("\u212aΣς", "Kσσ")
+
 
 def _number(*parts: Column) -> Column:
     """A number below 2**40 that a keyed digest gives for the parts."""
     return F.conv(F.substring(F.sha2(F.concat_ws("\x1f", *parts), 256), 1, 10), 16, 10).cast("long")
 
 
+def _tag(key: str | Column, rest: str) -> Column:
+    return F.lit(key + rest) if isinstance(key, str) else F.concat(key, F.lit(rest))
+
+
 def _shift(chars: Column, other: Column, label: Column, alphabets: tuple[str, ...], sign: int = 1) -> Column:
     """Move every character along its alphabet by an amount that ``other`` determines."""
 
@@ -73,7 +81,7 @@ def _shift(chars: Column, other: Column, label: Column, alphabets: tuple[str, ..
     return F.transform(chars, move)
 
 
-def _permuted(left: Column, right: Column, key: str, label: str, alphabets: tuple[str, ...], rounds: int = 4) -> Column:
+def _permuted(left: Column, right: Column, key: str | Column, label: str, alphabets: tuple[str, ...], rounds: int = 4) -> Column:
     """``left || right`` with both halves permuted; the alphabets of all places stay.
 
     Each round shifts one half by what the other one holds, so it can be undone: the
@@ -83,7 +91,7 @@ def _permuted(left: Column, right: Column, key: str, label: str, alphabets: tupl
     def step(k: int) -> Callable[[Column], Column]:
         def apply(state: Column) -> Column:
             a, b = state["a"], state["b"]
-            tag = F.lit(f"{key}\x1f{label}\x1f{k}")
+            tag = _tag(key, f"\x1f{label}\x1f{k}")
             done = F.struct(_shift(a, b, tag, alphabets).alias("a"), b.alias("b")) if k % 2 == 0 else F.struct(a.alias("a"), _shift(b, a, tag, alphabets).alias("b"))
             return done if k == rounds - 1 else let(done, step(k + 1))
 
@@ -93,12 +101,12 @@ def _permuted(left: Column, right: Column, key: str, label: str, alphabets: tupl
     return let(let(state, step(0)), lambda s: F.concat(F.array_join(s["a"], ""), F.array_join(s["b"], "")))
 
 
-def _halves(value: Column, key: str, label: str, alphabets: tuple[str, ...]) -> Column:
+def _halves(value: Column, key: str | Column, label: str, alphabets: tuple[str, ...]) -> Column:
     half = (F.length(value) / 2).cast("int")
     return _permuted(F.substring(value, F.lit(1), half), F.substring(value, half + 1, F.length(value)), key, label, alphabets)
 
 
-def _email(e: Column, key: str) -> Column:
+def _email(e: Column, key: str | Column) -> Column:
     """Reserved example domains stay; of others all but the last label is permuted."""
     local, domain = F.substring_index(e, "@", 1), F.substring_index(e, "@", -1)
     stem = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1)
@@ -107,15 +115,26 @@ def _email(e: Column, key: str) -> Column:
     return F.concat(_halves(local, key, "email", _PLAIN), F.lit("@"), domain)
 
 
-def _ip(e: Column, key: str) -> Column:
-    def step(k: int, a: Column, b: Column) -> Column:
+def _ip(e: Column, key: str | Column) -> Column:
+    """Octets with a leading zero keep it; others have none."""
+
+    def step(k: int, a: Column, b: Column, o: Column) -> Column:
         if k == 4:
-            return F.concat_ws(".", *(x.cast("string") for v in (a, b) for x in (F.floor(v / 256), v % 256)))
-        by = _number(F.lit(f"{key}\x1fip\x1f{k}"), b.cast("string"))
-        return let(F.struct(b.alias("a"), F.pmod(a + by, F.lit(65536)).alias("b")), lambda s: step(k + 1, s["a"], s["b"]))
+            values = (F.floor(a / o[1]["m"]), a % o[1]["m"], F.floor(b / o[3]["m"]), b % o[3]["m"])
+            texts = (F.when(x["m"] == 256, v.cast("string")).otherwise(F.concat(F.lit("0"), v.cast("string"))) for x, v in zip((o[i] for i in range(4)), values))
+            return F.concat_ws(".", *texts)
+        by = _number(_tag(key, f"\x1fip\x1f{k}"), b.cast("string"))
+        moved = F.pmod(a + by, o[0]["m"] * o[1]["m"]) if k % 2 == 0 else F.pmod(a + by, o[2]["m"] * o[3]["m"])
+        # After a step the halves change places; after four they are back in theirs.
+        done = F.struct(b.alias("a"), moved.alias("b"))
+        return let(done, lambda s: step(k + 1, s["a"], s["b"], o))
 
-    octets = F.transform(F.split(e, "\\."), lambda x: x.cast("long"))
-    return let(octets, lambda o: step(0, o[0] * 256 + o[1], o[2] * 256 + o[3]))
+    def octet(x: Column) -> Column:
+        # How many values there are of this shape: 00..09 or 0..255.
+        return F.struct(x.cast("long").alias("v"), F.when(x.rlike("^0."), 10).otherwise(256).cast("long").alias("m"))
+
+    octets = F.transform(F.split(e, "\\."), octet)
+    return let(octets, lambda o: step(0, o[0]["v"] * o[1]["m"] + o[1]["v"], o[2]["v"] * o[3]["m"] + o[3]["v"], o))
 
 
 def _luhn(payload: Column) -> Column:
@@ -125,7 +144,7 @@ def _luhn(payload: Column) -> Column:
     return F.pmod(-total, F.lit(10))
 
 
-def _card(e: Column, key: str) -> Column:
+def _card(e: Column, key: str | Column) -> Column:
     """Issuer digits stay, the others are permuted; the check digit is as right as it was."""
     plain = F.regexp_replace(e, "[^0-9]", "")
 
@@ -144,7 +163,7 @@ def _card(e: Column, key: str) -> Column:
     return let(let(plain, whole), spaced)
 
 
-def _phone(e: Column, key: str) -> Column:
+def _phone(e: Column, key: str | Column) -> Column:
     """The country code stays, and so does the exchange 555, whose numbers nobody has."""
     country = F.regexp_extract(e, r"^(\+\d{1,3}[ .-]?)", 1)
     rest = F.substring(e, F.length(country) + 1, F.length(e))
@@ -164,19 +183,25 @@ def _phone(e: Column, key: str) -> Column:
     return F.concat(country, let(rest, either))
 
 
-def _secret(e: Column, key: str) -> Column:
+def _secret(e: Column, key: str | Column) -> Column:
     before = F.regexp_extract(e, r"^([^=:]*[=:]\s*[\"']?)", 1)
     value = F.substring(e, F.length(before) + 1, F.length(e))
-    moved = let(value, lambda v: F.when(v.rlike("^[0-9a-f]+$"), _halves(v, key, "hex", _HEX)).otherwise(_halves(v, key, "secret", _PLAIN)))
+
+    def hexed(v: Column) -> Column:
+        # Case variants are one secret: its digits are those of the lower-cased value.
+        moved = _halves(F.lower(v), key, "hex", _HEX)
+        return let(moved, lambda m: F.when(v.rlike("[A-F]") & ~v.rlike("[a-f]"), F.upper(m)).otherwise(m))
+
+    moved = let(value, lambda v: F.when(v.rlike("^[0-9A-Fa-f]+$"), hexed(v)).otherwise(_halves(v, key, "secret", _PLAIN)))
     return F.concat(before, moved)
 
 
-def _name(e: Column, key: str) -> Column:
+def _name(e: Column, key: str | Column, circles: str) -> Column:
     pairs = []
     for group, names in NAMES.items():
         # Each name goes to the next one on a keyed circle through its group.
         circle = names[:]
-        random.Random(f"{key}|{group}").shuffle(circle)
+        random.Random(f"{circles}|{group}").shuffle(circle)
         pairs += [F.lit(x) for i, n in enumerate(circle) for x in (n, circle[(i + 1) % len(circle)])]
     given, surname = F.substring_index(e, " ", 1), F.substring_index(e, " ", -1)
     return F.concat(F.element_at(F.create_map(*pairs), given), F.lit(" "), _halves(surname, key, "surname", _SPOKEN))
@@ -190,27 +215,50 @@ def entity_type(e: Column) -> Column:
     return out
 
 
-def surrogate(e: Column, kind: Column, key: str) -> Column:
+def surrogate(e: Column, kind: Column, key: str, own: Column | None = None) -> Column:
+    """The replacement under ``key``, or under a key of the entity's ``own``.
+
+    Given names keep their circles under any key of its own: only surnames are drawn anew.
+    """
     makers = {
-        "secret": _secret, "email": _email, "ip": _ip, "card": _card, "phone": _phone, "name": _name,
+        "secret": _secret, "email": _email, "ip": _ip, "card": _card, "phone": _phone,
+        "name": lambda x, k: _name(x, k, key),
         "key": lambda x, k: F.concat(F.lit("AKIA"), _halves(F.substring(x, 5, 16), k, "key", _PLAIN)),
         "ssn": lambda x, k: _halves(x, k, "ssn", _DIGITS),
     }
     out = e
     for name, make in makers.items():
-        out = F.when(kind == name, make(e, key)).otherwise(out)
+        out = F.when(kind == name, make(e, key if own is None else own)).otherwise(out)
     return out
 
 
-def _protected(docs: DataFrame, key: str) -> DataFrame:
-    """``docs`` with the text replaced and ``entities``: type, keyed digest, replacement."""
+def _found(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+
+
+def _digest(e: Column, key: str) -> Column:
+    return F.sha2(F.concat(F.lit(key), F.lower(F.translate(e, *_FORMS))), 256)
+
+
+def _protected(docs: DataFrame, key: str, draws: dict[str, int] | None = None) -> DataFrame:
+    """``docs`` with the text replaced and ``entities``: type, keyed digest, replacement.
+
+    ``draws`` has, by digest, how often the replacement of an entity was drawn anew.
+    """
     text = F.col("text")
+    drawn = F.create_map(*(F.lit(x) for pair in draws.items() for x in pair)) if draws else None
 
     def replaced(e: Column) -> Column:
-        one = lambda t: F.struct(t.alias("type"), F.sha2(F.concat(F.lit(key), F.lower(e)), 256).alias("digest"), surrogate(e, t, key).alias("surrogate"))
-        return let(entity_type(e), one)
+        form = F.translate(e, *_FORMS)
+
+        def one(t: Column, digest: Column) -> Column:
+            own = None if drawn is None else F.concat(F.lit(key), F.coalesce(F.concat(F.lit("#"), F.element_at(drawn, digest).cast("string")), F.lit("")))
+            new = surrogate(form, t, key) if own is None else let(own, lambda k: surrogate(form, t, key, k))
+            return F.struct(t.alias("type"), digest.alias("digest"), new.alias("surrogate"))
 
-    found = F.when(text.isNotNull(), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), replaced))
+        return let(F.struct(entity_type(e).alias("t"), _digest(e, key).alias("d")), lambda x: one(x["t"], x["d"]))
+
+    found = F.when(text.isNotNull(), F.transform(_found(text), replaced))
     woven = lambda s: F.when(
         F.size(s) > 0,
         F.struct(
@@ -222,34 +270,58 @@ def _protected(docs: DataFrame, key: str) -> DataFrame:
     return out.withColumn("text", F.col("_woven.text")).withColumn("_entities", F.col("_woven.entities")).drop("_woven")
 
 
-def collisions(protected: DataFrame) -> DataFrame:
-    """Replacements that stand for more than one entity, and entities with more than one."""
+def _pairs(protected: DataFrame) -> DataFrame:
     # Case variants of an entity count as one; so do those of its replacement.
-    pairs = (
+    return (
         protected.select(F.explode("_entities").alias("e"))
         .select("e.type", "e.digest", F.lower("e.surrogate").alias("surrogate"))
         .distinct()
     )
+
+
+def collisions(protected: DataFrame) -> DataFrame:
+    """Replacements that stand for more than one entity, and entities with more than one."""
+    pairs = _pairs(protected)
     shared = pairs.groupBy("type", "surrogate").agg(F.count("*").alias("n")).where("n > 1").select("type", F.col("surrogate").alias("value"))
     split = pairs.groupBy("type", "digest").agg(F.count("*").alias("n")).where("n > 1").select("type", F.col("digest").alias("value"))
     return shared.unionAll(split)
 
 
-def replace_pii(docs: DataFrame, key: str, attempts: int = 5) -> DataFrame:
+def _crowded(protected: DataFrame) -> list[str]:
+    """Digests of the entities that have to give up a replacement to one with a smaller digest.
+
+    They share it by chance alone, since replacements of one shape are permutations:
+    there are few even in a large corpus.
+    """
+    pairs = _pairs(protected)
+    first = pairs.groupBy("type", "surrogate").agg(F.min("digest").alias("first"), F.count("*").alias("n")).where("n > 1")
+    rows = pairs.join(first, ["type", "surrogate"]).where("digest <> first").select("digest").distinct().collect()
+    return sorted(r["digest"] for r in rows)
+
+
+def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with every detected entity in ``text`` replaced, and ``_entities``.
 
     The result is written once; the check for collisions reads its entities alone.  If
-    two entities share a replacement, all is done again with a key derived from the
-    last one.  A null or empty text stays as it is, with no entities; so does any text
-    without an entity, to the byte.  Rows are treated one by one: order, ties and
-    repeated rows don't matter, and other columns are kept, whatever their names
-    (``_entities`` and ``_woven`` excepted).
+    entities share a replacement, one of them keeps it and the others are drawn anew
+    until none do; only the rows that hold one of these are replaced again.  A null or
+    empty text stays as it is, with no entities; so does any text without an entity, to
+    the byte.  Rows are treated one by one: order, ties and repeated rows don't matter,
+    and other columns are kept, whatever their names (``_entities`` and ``_woven``
+    excepted).
     """
-    for attempt in range(attempts):
-        done = staged(_protected(docs, key if not attempt else f"{key}#{attempt}"), "protected")
-        if collisions(done).isEmpty():
-            return done
-    raise RuntimeError(f"replacements collided under {attempts} keys")
+    done = staged(_protected(docs, key), "protected")
+    draws: dict[str, int] = {}
+    while not collisions(done).isEmpty():
+        again = _crowded(done)
+        if not again:
+            # Digests and replacements fold case alike, so no corpus leads here.
+            raise AssertionError("an entity has two replacements")
+        draws.update((d, draws.get(d, 0) + 1) for d in again)
+        old = F.exists("_entities", lambda e: e["digest"].isin(again))
+        new = F.coalesce(F.exists(F.transform(_found(F.col("text")), lambda e: _digest(e, key)), lambda d: d.isin(again)), F.lit(False))
+        done = staged(done.where(~old).unionByName(_protected(docs.where(new), key, draws)), "protected")
+    return done
 
 
 def counts(protected: DataFrame) -> dict[str, Column]:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from stratiform.llm import (
     fingerprints, mixing, packing, perspectives, pii, quality_gbt, sharding, suffix_dedup, tensor_minhash, token_files,
@@ -191,6 +192,42 @@ def test_surrogates_stay_distinct(spark):
     assert done.select("text").distinct().count() == 3000
 
 
+def test_forms_of_an_entity_do_not_collide(spark):
+    ips = ["10.0.0.1", "10.0.0.01", "1.2.3.4", "1.02.03.04", "01.02.03.04", "1.2.3.04"]
+    texts = ["from " + " and ".join(ips), "token=deadbeef01 token=DEADBEEF01 token=DeadBeef01", "Mary \u212aelvin, Mary Kelvin"]
+    done = pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "k")
+    out = {r.doc_id: r for r in done.collect()}
+    new = out[0].text.removeprefix("from ").split(" and ")
+    assert len({*new, *ips}) == 12
+    for a, b in zip(ips, new):
+        zeros = [[len(x) == 2 and x[0] == "0" for x in y.split(".")] for y in (a, b)]
+        assert zeros[0] == zeros[1]
+        assert all(int(x) < 256 for x in b.split("."))
+    a, b, c = (x.removeprefix("token=") for x in out[1].text.split())
+    assert a == b.lower() == c and b == b.upper() and a != "deadbeef01"
+    assert all(len({e.digest for e in out[i]._entities}) == n == len({e.surrogate.lower() for e in out[i]._entities}) for i, n in ((0, 6), (1, 1), (2, 1)))
+
+
+def test_entities_that_share_a_replacement_are_drawn_anew(spark, monkeypatch):
+    rows = [(1, "a@one.net b@two.net c@three.net"), (2, "again b@two.net"), (3, "d@four.net"), (4, None), (None, "d@four.net")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    plain = {r.doc_id: r.text for r in pii.replace_pii(df, "k").collect()}
+    email = pii._email
+
+    def sharing(e, key):
+        # Under the first key three entities have one replacement.
+        first = F.lit(key) == "k" if isinstance(key, str) else key == "k"
+        return F.when(first & e.rlike("^[abc]@"), "x@y.net").otherwise(email(e, key))
+
+    monkeypatch.setattr(pii, "_email", sharing)
+    done = pii.replace_pii(df, "k")
+    assert pii.collisions(done).isEmpty()
+    out = {r.doc_id: r.text for r in done.collect()}
+    one = out[1].split()
+    assert done.count() == 5 and len(set(one)) == 3 and one.count("x@y.net") == 1
+    assert out[2] == "again " + one[1] and out[3] == plain[3] == out[None] and out[4] is None
+
+
 def test_repeats(docs, rows, empty):
     got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs).collect()}
     seen = set()
