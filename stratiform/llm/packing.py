@@ -62,9 +62,11 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int = CAPACITY) ->
                 space = most - length
                 room[space].append(((*pattern, length), used))
             else:
-                # No pack has room: open new ones.
-                used, space = left, capacity - length
-                room[space].append(((length,), used))
+                # No pack has room: open new ones, each for as many pieces as fit (or are left).
+                each = min(left, capacity // length)
+                packs = left // each
+                used, space = packs * each, capacity - each * length
+                room[space].append(((length,) * each, packs))
                 most = max(most, space)
             left -= used
     counts: dict[tuple[int, ...], int] = defaultdict(int)

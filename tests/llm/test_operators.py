@@ -349,6 +349,22 @@ def test_shortest_pack_first():
     assert sum(fill.values()) / (100 * len(fill)) > 0.97
 
 
+@pytest.mark.parametrize(
+    "histogram, capacity, most",
+    [({300: 1000}, 2048, 167), ({300: 1000, **{n: 2 for n in range(301, 1301)}}, 2048, 1150), ({1: 5000}, 2048, 3), ({2048: 3, 2047: 2}, 2048, 5)],
+)
+def test_packs_of_a_frequent_length_are_filled(histogram, capacity, most):
+    places = packing.shortest_pack_first(histogram, capacity)
+    used, taken = Counter(), Counter()
+    for p in places:
+        assert p.first == taken[p.length] and (p.last - p.first + 1) % p.each == 0
+        taken[p.length] = p.last + 1
+        for k in range((p.last - p.first + 1) // p.each):
+            used[p.sequence + k] += p.each * p.length
+    assert taken == Counter(histogram) and max(used.values()) <= capacity
+    assert sorted(used) == list(range(len(used))) and len(used) <= most
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
 
