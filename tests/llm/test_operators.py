@@ -93,6 +93,26 @@ def test_a_text_larger_than_a_shard_is_split(spark):
     assert max(load.values()) < 1.1 * min(load.values())
 
 
+def test_texts_beside_a_split_one_stay_whole(spark, monkeypatch):
+    # All texts share one slot; each of the small ones has four rows.
+    monkeypatch.setattr(sharding.slotted, "__defaults__", (1,))
+    texts = {i: "same text" * 20 if i < 300 else prose(i % 40, 30) for i in range(460)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    path = scratch_path(spark, "map")
+    got = sharding.shard_by_bytes(docs, 4, path).collect()
+    shards, load, slots = defaultdict(set), Counter(), defaultdict(list)
+    for r in got:
+        shards[texts[r.doc_id]].add(r.shard)
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(got) == 460 and len(shards.pop("same text" * 20)) == 4
+    assert len(shards) == 40 and all(len(s) == 1 for s in shards.values())
+    assert max(load.values()) < 1.2 * min(load.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    again = {r.doc_id: r.shard for r in sharding.shard_by_bytes(docs, 4, path, version=2).collect()}
+    assert again == {r.doc_id: r.shard for r in got}
+
+
 @pytest.mark.parametrize("block", [1, 7, 128])
 def test_blocks_round_trip(block):
     rng = np.random.default_rng(block)
