@@ -25,10 +25,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with ``_row``, a key of every row."""
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of every group of near-duplicates."""
-    kept = tensor_minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.alias("d").join(kept.alias("k"), F.expr("d.doc_id <=> k.doc_id"), "left_semi").select(*COLUMNS)
+    """One row, the one with the smallest id (null last), of every group of near-duplicates.
+
+    Rows are told apart by a key of their own, whether ids repeat or are missing.
+    """
+    rows = keyed(docs)
+    groups = tensor_minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    kept = rows.select("_row", "doc_id").join(groups, "_row").groupBy("component_id").agg(F.min(order)["_row"].alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,3 +25,12 @@ def test_stages_take_an_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = staged(stage(spark, docs, sf_dir), "stage")
         assert docs.count() == 0
+
+
+def test_near_duplicates_without_ids_of_their_own(spark, sf_dir):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(60)) for w in "abcd")
+    # Repeated rows, texts under one id, copies without ids, and a copy under the greater id.
+    rows = [(1, a), (1, a), (1, b), (2, b + " end"), (None, c), (None, c), (None, c + " end"), (None, a), (9, d), (None, d)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in got) == [(0, "c"), (1, "a"), (1, "b"), (9, "d")]
