@@ -50,8 +50,9 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixing.materialise(docs, mixing.mix_sources(docs)).select(*COLUMNS)
+    """Rows as often as the mix takes each of them, whether ids repeat or are missing."""
+    rows = keyed(docs)
+    return mixing.materialise(rows, mixing.mix_sources(rows, carry=("_row",)), "_row").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,9 +35,9 @@ def uniform(seed: str, *columns: str) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
 
 
-def sized(docs: DataFrame, seed: str, quality: Column | None = None) -> DataFrame:
-    """(doc_id, source, size, quality, draw): one narrow row for each document."""
-    counted = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.length("text").alias("_length"))
+def sized(docs: DataFrame, seed: str, quality: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, size, quality, draw) and ``carry``: one narrow row for each document."""
+    counted = docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"), F.length("text").alias("_length"))
     weight = quality if quality is not None else F.when(
         F.col("size") > 0, 1 / (1 + F.abs(F.col("_length") / F.col("size") - PROSE_WORD) / PROSE_WORD)
     ).otherwise(F.lit(1.0))
@@ -78,6 +78,7 @@ def mix_sources(
     quality: Column | None = None,
     seed: str = "mix",
     most: int = MOST_EPOCHS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of ``docs``.
 
@@ -91,9 +92,9 @@ def mix_sources(
     any share of the table.  A null text has size 0 and is taken 0 words; a null source
     is a source of its own.  Equal rows draw the same key and follow each other; which
     of them is cut is left open.  Columns other than ``doc_id``, ``source`` and ``text``
-    are ignored.  The draw depends on ``doc_id`` and ``seed`` only, so reruns agree.
+    are ignored, but those in ``carry`` (such as a row key) are handed on.  The draw depends on ``doc_id`` and ``seed`` only, so reruns agree.
     """
-    rows = staged(sized(docs, seed, quality), "sized")
+    rows = staged(sized(docs, seed, quality, carry), "sized")
     sizes = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("_rows"), F.avg("quality").alias("_quality")
     )
@@ -123,7 +124,7 @@ def mix_sources(
     inner = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     cut = F.greatest(F.lit(0), F.least("size", left - F.col("_inner")))
     whole = F.when(left >= F.col("_sum"), F.col("size")).otherwise(F.lit(0))
-    columns = ["doc_id", "source", "size", "source_size", "target"]
+    columns = ["doc_id", "source", "size", "source_size", "target", *carry]
     once = F.col("_epochs") * F.col("size")
     return (
         placed.where(border)
@@ -133,15 +134,19 @@ def mix_sources(
     )
 
 
-def materialise(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+def materialise(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     """The mix as rows of ``docs``, each as often as it is taken; part of one counts from half on.
 
-    Rows are matched by ``doc_id``; of rows that repeat a ``doc_id`` each one comes as
-    often as the first of them.
+    Rows are matched by ``key``, a column of both with another value in every row.
+    Where a ``doc_id`` is missing or repeats, that is a row key which ``mix_sources``
+    carries; rows that share a key and a source and have as many words are taken alike
+    otherwise, as often as the one of them that is taken most.
     """
-    times = mixed.groupBy("doc_id").agg(
-        F.max_by(F.col("taken") / F.nullif("size", F.lit(0)), "taken").alias("_times")
-    )
-    n = F.floor(F.coalesce("_times", F.lit(0.0)) + 0.5).cast("int")
-    joined = docs.alias("d").join(times.alias("t"), F.expr("d.doc_id <=> t.doc_id"))
-    return joined.select("d.*", n.alias("_n")).where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_n"))).select(docs.columns)
+    n = F.floor(F.coalesce(F.col("taken") / F.nullif("size", F.lit(0)), F.lit(0.0)) + 0.5).cast("int")
+    same = ("_key", "_source", "_size")
+    times = mixed.select(F.col(key).alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size"), n.alias("_n"))
+    times = times.groupBy(*same).agg(F.max("_n").alias("_n")).where("_n > 0")
+    sized_docs = docs.withColumn("_words", word_count(F.col("text")))
+    match = F.expr(f"d.`{key}` <=> t._key and d.source <=> t._source and d._words = t._size")
+    joined = sized_docs.alias("d").join(times.alias("t"), match)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_n"))).select(*(F.col(f"d.`{c}`") for c in docs.columns))
