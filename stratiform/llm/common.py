@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratiform.session import scratch_path
@@ -22,6 +22,12 @@ UNKNOWN_BYTES = 2**50
 # Whether Spark removes an execution's shuffle files when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+# Bytes of a range of rows that are numbered by range.
+RANGE_BYTES = 64 * 1024 * 1024
+
+# monotonically_increasing_id keeps the partition above these bits.
+_PART_BITS = 33
+
 # Numpy works on slices of an Arrow batch (which Spark bounds by bytes), since it needs
 # a multiple of the text's size.
 SLICE_BYTES = 256 * 1024
@@ -76,6 +82,24 @@ def partitions_for(docs: DataFrame, bytes_each: int) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add ``name``: 1, 2, .. in the given order, which should tell all rows apart.
+
+    Rows are dealt by ranges of the order and written; a row's number is its place in
+    its range plus the sizes of the ranges before, of which there is one row each.
+    """
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size_in_bytes(rows) // RANGE_BYTES))
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = staged(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_part", F.shiftright("_id", _PART_BITS))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.count("*").alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+    )
+    place = F.col("_id") - F.shiftleft("_part", _PART_BITS) + 1
+    return placed.join(offsets, "_part").withColumn(name, F.col("_before") + place).drop("_id", "_part", "_before")
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``.
 

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import fingerprints, mixing, packing, perspectives, pii, quality_gbt, sharding, sql, suffix_dedup, tensor_minhash, token_files
+from stratiform.llm import (
+    fingerprints, importance, lexical, mixing, packing, perspectives, pii, pivots, quality_gbt, sharding, sql, suffix_dedup,
+    tensor_minhash, token_files,
+)
 from stratiform.llm.common import documents
 from stratiform.session import scratch_path
 
@@ -83,6 +86,21 @@ def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensor_minhash.near_duplicates(documents(spark, sf_dir), tensor_minhash.Banding(shingle=4))
 
 
+def op11_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_head_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark texts, and the tenth that is drawn."""
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all vectors at a cosine of 0.95."""
+    return pivots.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -96,6 +114,15 @@ QUERIES: dict[str, Query] = {
         op8_quality_gbt,
         op9_packing,
         op10_tensor_minhash,
+        op11_ball_tree,
+        op12_head_tail,
+        op13_pivot_index,
     )
 }
-ORACLES: dict[str, str] = {"op3_mixing": sql.MIXING, "op6_perspectives": sql.PERSPECTIVES}
+ORACLES: dict[str, str] = {
+    "op3_mixing": sql.MIXING,
+    "op6_perspectives": sql.PERSPECTIVES,
+    "op11_ball_tree": sql.SEARCH,
+    "op12_head_tail": sql.RESAMPLING,
+    "op13_pivot_index": sql.VECTORS,
+}

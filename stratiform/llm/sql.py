@@ -71,3 +71,83 @@ SELECT conv_id, perspective, turn, role, name, rendered, start, stop,
   CASE WHEN role = 'assistant' THEN stop - 1 END AS mask_stop
 FROM bounded
 """
+
+# A-Z become a-z and nothing else changes.
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _terms(table: str, key: str) -> str:
+    return f"SELECT {key}, unnest(regexp_extract_all({_LOWERED.format('text')}, '{_TERM}')) AS term FROM {table}"
+
+
+SEARCH = f"""
+WITH words AS ({_terms('documents', 'doc_id')}),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY 1),
+sums AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+rarity AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, sums GROUP BY term, docs),
+wanted AS (SELECT DISTINCT * FROM ({_terms('benchmark', 'item_id')})),
+scored AS (
+  SELECT item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM wanted JOIN counts USING (term) JOIN rarity USING (term) JOIN lengths USING (doc_id), sums GROUP BY 1, 2),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+# CRC-32 by its definition: a table of 256 states, then byte by byte.
+RESAMPLING = f"""
+WITH states AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM range(256) r(i)),
+words AS ({_terms('documents', 'doc_id')}),
+aims AS ({_terms('benchmark', 'item_id')}),
+bytes AS (
+  SELECT term, hex(encode(term)) AS h FROM (SELECT DISTINCT term FROM words UNION SELECT DISTINCT term FROM aims)),
+buckets AS (
+  SELECT term, xor(list_reduce(
+      list_transform(range(length(h) // 2), lambda k: ('0x' || substr(h, (2 * k + 1)::BIGINT, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM bytes, states),
+corpus AS (SELECT bucket, count(*) AS s FROM words JOIN buckets USING (term) GROUP BY 1),
+aim AS (SELECT bucket, count(*) AS t FROM aims JOIN buckets USING (term) GROUP BY 1),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM corpus)::DOUBLE AS big_s, (SELECT coalesce(sum(t), 0) FROM aim)::DOUBLE AS big_t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (big_s + 10000)
+    / ((coalesce(s, 0) + 1)::DOUBLE * (big_t + 10000))))::BIGINT AS gain
+  FROM corpus FULL JOIN aim USING (bucket), sums),
+weighed AS (
+  SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS w FROM words JOIN buckets USING (term) JOIN gains USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(w, 0)::BIGINT AS weight,
+    coalesce(w, 0)::BIGINT + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || d.doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM documents d LEFT JOIN weighed USING (doc_id)),
+places AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS competing
+  FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 10 * competing // 100 THEN place END::BIGINT AS rank
+FROM scored s LEFT JOIN places USING (doc_id)
+"""
+
+VECTORS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v,
+    embedding IS NOT NULL AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0 AS valid
+  FROM embeddings),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND a.valid AND b.valid AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (
+  SELECT vec_id AS x, vec_id AS y FROM vectors
+  UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+counted AS (SELECT x, count(*) AS n FROM links GROUP BY 1)
+SELECT x AS vec_id, coalesce(max(n), 0)::BIGINT AS n_links, min(y) AS component_id, x = min(y) AS kept
+FROM reached LEFT JOIN counted USING (x) GROUP BY x
+"""
