@@ -13,6 +13,7 @@ from stratiform.sinks import (
     append_or_create,
     copy_into,
     create_or_merge,
+    loaded,
     overwrite_table,
     write_gold,
 )
@@ -24,7 +25,7 @@ from stratiform.sources import (
     route_by_format,
     star_table,
 )
-from stratiform.streaming import load_new_files
+from stratiform.streaming import load_evolving_files, load_new_files
 
 
 def _money_sql(source: str = "orders") -> str:
@@ -193,6 +194,46 @@ def snk_copy_into_stream(spark, sf):
     return _money(spark.read.parquet(dst))
 
 
+@query(
+    "snk_copy_into_evolving",
+    """WITH orders_in AS (
+         SELECT o_orderkey, o_orderstatus, o_totalprice,
+                o_orderstatus = 'P' AND o_orderkey % 10 = 0 AS bad, o_custkey,
+                CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority FROM orders)
+       SELECT way, o_orderkey, CASE WHEN NOT bad THEN o_custkey END AS o_custkey, o_orderstatus,
+              o_totalprice, o_orderpriority,
+              CASE WHEN bad THEN '{"o_custkey":"no. ' || o_custkey || '"}' END AS rescued
+       FROM orders_in, (VALUES ('batch'), ('stream')) AS ways(way)""",
+)
+def snk_copy_into_evolving(spark, sf):
+    """CSV files with other orders of columns, a new column and bad numbers, batch and stream."""
+    root = scratch_path(spark, "copy-evolving")
+    src = f"{root}/in"
+    orders = _orders(spark, sf)
+    status = F.col("o_orderstatus")
+    custkey = F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("no. "), "o_custkey"))
+    arrivals = [
+        orders.where(status == "F").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"),
+        orders.where(status == "O").select("o_totalprice", "o_orderstatus", "o_orderkey", "o_custkey"),
+        orders.where(status == "P").select(
+            "o_orderpriority", "o_orderkey", F.coalesce(custkey, F.col("o_custkey").cast("string")).alias("o_custkey"),
+            "o_orderstatus", "o_totalprice",
+        ),
+    ]
+    for rows in arrivals:
+        rows.write.mode("append").option("header", True).csv(src)
+        copy_into(spark, src, f"{root}/batch", "csv", "*.csv")
+        load_evolving_files(spark, src, f"{root}/stream", f"{root}/log", "csv", "*.csv").awaitTermination()
+    parts = [
+        loaded(spark, f"{root}/{way}").select(
+            F.lit(way).alias("way"), "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+            "o_orderpriority", F.col("_rescued_data").alias("rescued"),
+        )
+        for way in ("batch", "stream")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 _CHANGES = """changes AS (
   SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice FROM orders
   WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'

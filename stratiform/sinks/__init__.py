@@ -1,6 +1,6 @@
 """Writers: appends, overwrites, merges and idempotent file loads."""
 
-from stratiform.sinks.copy_into import copy_into
+from stratiform.sinks.copy_into import LoadConflict, copy_into, load_batch, loaded, loaded_files, schema_versions
 from stratiform.sinks.tables import (
     append_or_create,
     append_results,
@@ -11,11 +11,16 @@ from stratiform.sinks.tables import (
 )
 
 __all__ = [
+    "LoadConflict",
     "append_or_create",
     "append_results",
     "copy_into",
     "create_or_merge",
+    "load_batch",
+    "loaded",
+    "loaded_files",
     "optimize_table",
     "overwrite_table",
+    "schema_versions",
     "write_gold",
 ]

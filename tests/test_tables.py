@@ -1,10 +1,13 @@
 """Sources, sinks, merges, layout and streaming."""
 
 import datetime as dt
+import json
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratiform.operators.access import mask_columns, row_filter
 from stratiform.operators.dimension import dimension, surrogate_key
@@ -12,9 +15,12 @@ from stratiform.operators.enrich import checked_broadcast, enrich
 from stratiform.operators.layout import compact, file_stats, layout_stats, z_value, zorder
 from stratiform.operators.merge import AmbiguousMatch, scd2, snapshot_diff, upsert
 from stratiform.session import scratch_path, shuffle_partitions_for
-from stratiform.sinks import append_or_create, copy_into, create_or_merge, optimize_table, write_gold
+from stratiform.sinks import (
+    LoadConflict, append_or_create, copy_into, create_or_merge, loaded, loaded_files, optimize_table, schema_versions, write_gold,
+)
+from stratiform.sinks.copy_into import conform
 from stratiform.sources import file_inventory, read_source, read_tree, route_by_format
-from stratiform.streaming import load_new_files
+from stratiform.streaming import load_evolving_files, load_new_files
 
 
 def rows(df):
@@ -318,3 +324,84 @@ def test_snapshots_with_repeated_keys_raise(spark):
     assert snapshot_diff(once, once, ["k"]).where("k is not null").count() == 0
     with pytest.raises(RepeatedKey):
         snapshot_diff(once, twice, ["k"])
+
+
+def load_csv(spark, src, name, text):
+    folder = Path(src)
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+
+
+def test_load_follows_headers_and_rescues_what_does_not_fit(spark):
+    root = scratch_path(spark, "test-evolve")
+    src, dst = f"{root}/in", f"{root}/out"
+    load_csv(spark, src, "a.csv", "id,amount,day\n1,1.50,2024-01-01\n2,2.25,2024-01-02\n")
+    assert copy_into(spark, src, dst, "csv", "*.csv") == 1
+    load_csv(spark, src, "b.csv", "day,id,amount\n2024-01-03,3,9.75\n")
+    load_csv(spark, src, "c.csv", "ID,amount,note\n4,x,hello\nfive,5.5,\n6,6.5,a,surplus\n")
+    load_csv(spark, src, "d.csv", "")  # empty files are not listed
+    assert copy_into(spark, src, dst, "csv", "*.csv") == 2
+    assert copy_into(spark, src, dst, "csv", "*.csv") == 0
+    got = loaded(spark, dst)
+    assert got.dtypes[:4] == [("id", "int"), ("amount", "double"), ("day", "date"), ("note", "string")]
+    by_id = {r.id: r for r in got.collect()}
+    assert len(by_id) == got.count() == 6
+    assert (by_id[3].amount, str(by_id[3].day), by_id[3].note) == (9.75, "2024-01-03", None)
+    assert (by_id[4].amount, by_id[4].note, json.loads(by_id[4]._rescued_data)) == (None, "hello", {"amount": "x"})
+    assert json.loads(by_id[None]._rescued_data) == {"id": "five"} and by_id[None].amount == 5.5
+    assert "surplus" in json.loads(by_id[6]._rescued_data)["_corrupt_record"]
+    assert by_id[1]._rescued_data is None
+    assert [r.schema_version for r in schema_versions(spark, dst).orderBy("schema_version").collect()] == [1, 2]
+    assert {r.schema_version for r in loaded_files(spark, dst).where("path like '%a.csv'").collect()} == {1}
+
+
+def test_load_of_parquet_files_that_disagree(spark):
+    root = scratch_path(spark, "test-evolve")
+    src, dst = f"{root}/in", f"{root}/out"
+    spark.createDataFrame([(1, 1.0)], "k int, v double").coalesce(1).write.parquet(src)
+    copy_into(spark, src, dst, pattern="*.parquet")
+    later = spark.createDataFrame([(2**40, 2.0, "new")], "k long, v double, w string").coalesce(1)
+    later.write.mode("append").parquet(src)
+    spark.createDataFrame([("three", 7, None)], "k string, v int, w string").coalesce(1).write.mode("append").parquet(src)
+    assert copy_into(spark, src, dst, pattern="*.parquet") == 2
+    got = {(r.k, r.v, r.w, r._rescued_data) for r in loaded(spark, dst).collect()}
+    assert got == {(1, 1.0, None, None), (None, 2.0, "new", '{"k":"1099511627776"}'), (None, 7.0, None, '{"k":"three"}')}
+
+
+def test_load_without_evolution_keeps_surplus_columns(spark):
+    root = scratch_path(spark, "test-evolve")
+    src, dst = f"{root}/in", f"{root}/out"
+    spark.createDataFrame([(1, [1, 2])], "k int, extra array<int>").write.json(src)
+    copy_into(spark, src, dst, "json", "*.json", schema="k decimal(4,1), m string", evolve=False)
+    row = loaded(spark, dst).first()
+    assert (float(row.k), row.m, json.loads(row._rescued_data)) == (1.0, None, {"extra": "[1,2]"})
+    assert copy_into(spark, src, dst, "json", "*.json", reload=True) > 0
+    assert loaded(spark, dst).where("k = 1").count() == 2
+    spark.createDataFrame([(1, 2)], "k int, copy_batch int").write.mode("append").json(src)
+    with pytest.raises(LoadConflict):
+        copy_into(spark, src, dst, "json", "*.json")
+
+
+def test_casts_that_lose_something_are_rescued(spark):
+    df = spark.createDataFrame([("1.239", "2024-01-01 10:00:00", 1.5, 300), ("1.23", "2024-01-01", 2.0, 3), (None, None, None, None)], "a string, b string, c double, d int")
+    got = conform(df, T.StructType.fromDDL("a decimal(5,2), b date, c int, d tinyint")).collect()
+    assert json.loads(got[0]._rescued_data) == {"a": "1.239", "b": "2024-01-01 10:00:00", "c": "1.5", "d": "300"}
+    assert (str(got[1].a), str(got[1].b), got[1].c, got[1].d, got[1]._rescued_data) == ("1.23", "2024-01-01", 2, 3, None)
+    assert tuple(got[0])[:4] == tuple(got[2]) [:4] == (None,) * 4
+
+
+def test_stream_and_batch_load_alike(spark):
+    root = scratch_path(spark, "test-evolve")
+    src = f"{root}/in"
+    load_csv(spark, src, "a.csv", "id,v\n1,10\n")
+
+    def load():
+        load_evolving_files(spark, src, f"{root}/stream", f"{root}/log", "csv", "*.csv").awaitTermination()
+        copy_into(spark, src, f"{root}/batch", "csv", "*.csv")
+
+    load()
+    load()
+    load_csv(spark, src, "b.csv", "w,v,id\nx,twenty,2\n")
+    load()
+    a, b = (rows(loaded(spark, f"{root}/{way}")) for way in ("stream", "batch"))
+    assert a == b and len(a) == 2
