@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratiform.operators.enrich import enrich
-from stratiform.operators.layout import compact, layout_stats, zorder
+from stratiform.operators.layout import compact, file_stats, layout_stats, zorder
 from stratiform.operators.merge import upsert
 from stratiform.plans.registry import dbl, query
 from stratiform.session import scratch_path
 from stratiform.sinks import (
     append_or_create,
+    compact_files,
     copy_into,
     create_or_merge,
     loaded,
+    merge_files,
     overwrite_table,
     write_gold,
 )
@@ -284,6 +286,28 @@ def snk_create_or_merge(spark, sf):
     return spark.read.parquet(files)
 
 
+@query("snk_merge_files", _UPSERTED.replace("SELECT * FROM changes", "SELECT *, 'written' AS file FROM changes").replace(
+    "o_totalprice FROM orders\n  WHERE o_orderkey NOT IN",
+    """o_totalprice, CASE WHEN o_orderkey // 1000 IN (SELECT o_orderkey // 1000 FROM changes)
+         THEN 'written' ELSE 'kept' END FROM orders WHERE o_orderkey NOT IN""",
+))
+def snk_merge_files(spark, sf):
+    """The same changes merged into a folder of files by key; each row with its file's fate."""
+    path = scratch_path(spark, "merge-files")
+    target = _orders(spark, sf).select(*_UPSERT_COLUMNS)
+    span = F.floor(F.col("o_orderkey") / 1000).cast("int")
+    spans = target.agg(F.max(span)).first()[0] + 1
+    target.repartitionById(spans, span).write.parquet(path)
+    before = file_stats(spark.read.parquet(path)).select("file_path", F.lit("kept").alias("file"))
+    before.write.parquet(f"{path}-before")
+    changes = _changes(spark, sf)
+    merge_files(spark, path, changes, ["o_orderkey"])
+    merge_files(spark, path, changes.where("o_orderstatus = 'N'"), ["o_orderkey"])
+    after = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file_path"))
+    fate = F.coalesce("file", F.lit("written")).alias("file")
+    return after.join(spark.read.parquet(f"{path}-before"), "file_path", "left").select(*_UPSERT_COLUMNS, fate)
+
+
 @query(
     "snk_merge_partitions",
     """WITH changes AS (
@@ -350,6 +374,39 @@ def lay_compact(spark, sf):
     return _lines(spark.read.parquet(path))
 
 
+@query(
+    "lay_compact_where",
+    f"""SELECT l_returnflag, count(*) AS lines, {dbl("sum(CAST(l_extendedprice AS DECIMAL(18,2)))")} AS price,
+               l_returnflag <> 'R' AS files_kept, l_returnflag = 'R' AS fewer_files
+        FROM lineitem GROUP BY l_returnflag""",
+)
+def lay_compact_where(spark, sf):
+    """Small files of one partition merged; per partition, whether its files are the same."""
+    path = scratch_path(spark, "compact-where")
+    lines = star_table(spark, sf, "lineitem")
+    lines.repartition(12).write.partitionBy("l_returnflag").parquet(path)
+    flag = F.regexp_extract("file_path", "l_returnflag=([^/]*)", 1).alias("l_returnflag")
+    file_stats(spark.read.parquet(path)).select("file_path", flag).write.parquet(f"{path}-before")
+    compact_files(spark, path, "l_returnflag = 'R'")
+    before = spark.read.parquet(f"{path}-before")
+    after = file_stats(spark.read.parquet(path)).select("file_path", flag, F.lit(True).alias("there"))
+    fates = (
+        before.withColumn("was", F.lit(True))
+        .join(after, ["file_path", "l_returnflag"], "full")
+        .groupBy("l_returnflag")
+        .agg(
+            (F.count("*") == F.count(F.when(F.col("was") & F.col("there"), 1))).alias("files_kept"),
+            (F.count("there") < F.count("was")).alias("fewer_files"),
+        )
+    )
+    sums = (
+        spark.read.parquet(path)
+        .groupBy("l_returnflag")
+        .agg(F.count("*").alias("lines"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"))
+    )
+    return sums.join(fates, "l_returnflag")
+
+
 @query("lay_zorder", _LINES_SQL)
 def lay_zorder(spark, sf):
     lines = star_table(spark, sf, "lineitem")

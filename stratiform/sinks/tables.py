@@ -22,6 +22,7 @@ from stratiform.operators.enrich import checked_broadcast
 from stratiform.operators.layout import analyze_table, even_partitions, zorder
 from stratiform.operators.merge import upsert
 from stratiform.session import reliable_checkpoint
+from stratiform.sinks.rewrite import compact_files, merge_files
 
 # The folder of one version of an external table's rows.
 _VERSION = re.compile("/version-[0-9a-f]{12}$")
@@ -68,23 +69,58 @@ def create_or_merge(
 
     If the keys include the partition columns, a row and its successor lie in the
     same partition, and only the partitions the source touches are rewritten.
-    Otherwise the merged rows go to a staging table, which then takes the name
-    over: the old rows stay readable until the new ones are complete.
+    Otherwise only the files that hold a matched key are.  If the table is to get other
+    partition columns or another location, the merged rows go to a staging table, which
+    then takes the name over: the old rows stay readable until the new ones are complete.
     """
     if not (merge_mode and df.sparkSession.catalog.tableExists(table)):
         overwrite_table(df, table, partition_by, location)
     elif own := _partitions_in_keys(df.sparkSession, table, keys):
         _merge_partitions(df, table, keys, own)
+    elif _keeps_layout(df.sparkSession, table, partition_by, location):
+        _merge_files(df, table, keys)
     else:
         _merge_table(df, table, keys, partition_by, location)
 
 
 def _partitions_in_keys(spark: SparkSession, table: str, keys: Sequence[str]) -> list[str]:
     """The table's partition columns, if it has any and the keys include them all."""
-    own = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    own = _own_partitions(spark, table)
     return own if set(own) <= set(keys) else []
 
 
+def _own_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first().data_type.rstrip("/")
+
+
+def _own_partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _keeps_layout(
+    spark: SparkSession, table: str, partition_by: Sequence[str], location: str | None
+) -> bool:
+    """Whether a table's own folder and partition columns are the ones asked for."""
+    if partition_by and list(partition_by) != _own_partitions(spark, table):
+        return False
+    bare = _VERSION.sub("", _own_location(spark, table)).removeprefix("file:")
+    return location is None or bare == location.rstrip("/").removeprefix("file:")
+
+
+def _after_rewrite(spark: SparkSession, table: str) -> None:
+    if _own_partitions(spark, table):
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
+def _merge_files(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    spark = df.sparkSession
+    parts = _own_partitions(spark, table)
+    merge_files(spark, _own_location(spark, table), df, keys, table=spark.table(table), partition_by=parts)
+    _after_rewrite(spark, table)
+
+
 def _merge_table(
     df: DataFrame,
     table: str,
@@ -186,10 +222,16 @@ def optimize_table(
 ) -> None:
     """Rewrite a table with evenly sized files, clustered if asked to.
 
-    ``where`` restricts the work to some rows; the others are copied.  Statistics
-    are stored afterwards.
+    ``where`` restricts the work to files that hold such rows, where the table keeps its
+    layout: their small ones are merged, or all of them clustered, and other files are
+    not touched.  Statistics are stored afterwards.
     """
     df = spark.table(table)
+    if where is not None and _keeps_layout(spark, table, partition_by, location):
+        compact_files(spark, _own_location(spark, table), where, cluster_by=cluster_by, table=df)
+        _after_rewrite(spark, table)
+        analyze_table(spark, table)
+        return
     partition_by, location = _layout(spark, table, partition_by, location)
     chosen = F.lit(True) if where is None else F.coalesce(F.expr(where), F.lit(False))
     rows = df.where(chosen)

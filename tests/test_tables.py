@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import random
 import uuid
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -16,9 +18,11 @@ from stratiform.operators.layout import compact, file_stats, layout_stats, z_val
 from stratiform.operators.merge import AmbiguousMatch, scd2, snapshot_diff, upsert
 from stratiform.session import scratch_path, shuffle_partitions_for
 from stratiform.sinks import (
-    LoadConflict, append_or_create, copy_into, create_or_merge, loaded, loaded_files, optimize_table, schema_versions, write_gold,
+    LoadConflict, append_or_create, compact_files, copy_into, create_or_merge, loaded, loaded_files, merge_files,
+    optimize_table, recover, replace_files, rewrite, schema_versions, write_gold,
 )
 from stratiform.sinks.copy_into import conform
+from stratiform.sinks.rewrite import first_fit_decreasing, touched_files
 from stratiform.sources import file_inventory, read_source, read_tree, route_by_format
 from stratiform.streaming import load_evolving_files, load_new_files
 
@@ -405,3 +409,100 @@ def test_stream_and_batch_load_alike(spark):
     load()
     a, b = (rows(loaded(spark, f"{root}/{way}")) for way in ("stream", "batch"))
     assert a == b and len(a) == 2
+
+
+def names_of(spark, path):
+    return {Path(r.file_path).name: r.row_count for r in file_stats(spark.read.parquet(path)).collect()}
+
+
+def test_bins_are_first_fit_decreasing():
+    assert first_fit_decreasing([3, 9, 5, 2, 7], 10) == [[1], [4, 0], [2, 3]]
+    assert first_fit_decreasing([], 10) == []
+    rng = random.Random(1)
+    sizes = [rng.randint(1, 60) for _ in range(500)]
+    bins = first_fit_decreasing(sizes, 100)
+    assert sorted(i for b in bins for i in b) == list(range(500))
+    assert all(sum(sizes[i] for i in b) <= 100 for b in bins)
+    assert len(bins) <= 11 / 9 * -(-sum(sizes) // 100) + 1
+
+
+def test_compacting_chosen_files_leaves_the_others(spark):
+    path = scratch_path(spark, "test files +%")
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("p"), F.lit("a b/%+").alias("q"))
+    df.repartition(5).write.partitionBy("p", "q").parquet(path)
+    before = {f: p for p in (0, 1, 2) for f, _ in touched_files(spark.read.parquet(path), f"p = {p}")}
+    assert compact_files(spark, path, "p >= 1 AND id < 2000") == (10, 2)
+    after = {f: p for p in (0, 1, 2) for f, _ in touched_files(spark.read.parquet(path), f"p = {p}")}
+    assert {f for f, p in before.items() if p == 0} == {f for f, p in after.items() if p == 0}
+    assert Counter(after.values()) == {0: 5, 1: 1, 2: 1}
+    assert rows(spark.read.parquet(path).select("id", "p", "q")) == rows(df)
+    assert compact_files(spark, path, "p = 7") == (0, 0)
+    # Nothing small enough is left to merge.
+    assert compact_files(spark, path, "p = 1") == (0, 0)
+    assert compact_files(spark, path, "p = 0", cluster_by=["id"]).removed == 5
+    assert rows(spark.read.parquet(path).select("id", "p", "q")) == rows(df)
+
+
+def test_merging_files_rewrites_only_those_with_matches(spark):
+    path = scratch_path(spark, "test-merge")
+    target = spark.range(1000).select("id", F.lit("old").alias("v"), F.lit(None).cast("int").alias("w"))
+    target.repartitionById(10, F.floor(F.col("id") / 100).cast("int")).write.parquet(path)
+    before = names_of(spark, path)
+    source = spark.createDataFrame([(5, "new", 1), (310, "new", None), (5000, "new", 2), (None, "new", 3)], "id long, v string, w int")
+    assert merge_files(spark, path, source, ["id"]).removed == 2
+    after = names_of(spark, path)
+    assert len(before.keys() & after.keys()) == 8
+    got = spark.read.parquet(path)
+    assert got.count() == 1002 and got.where("v = 'new'").count() == 4
+    assert rows(got) == rows(upsert(target, source, ["id"]))
+    # Again: the row without a key is added once more, as a merge does.
+    merge_files(spark, path, source.where("id is not null"), ["id"])
+    assert rows(spark.read.parquet(path)) == rows(upsert(target, source, ["id"]))
+    assert merge_files(spark, path, source.where("id is null"), ["id"]).removed == 0
+    assert merge_files(spark, path, source.limit(0), ["id"]).removed == 0
+    twice = spark.createDataFrame([(7, "x", 1), (7, "y", 1)], source.schema)
+    with pytest.raises(AmbiguousMatch):
+        merge_files(spark, path, twice, ["id"])
+    assert spark.read.parquet(path).count() == 1003
+
+
+def test_a_rewrite_that_died_is_finished_or_dropped(spark, monkeypatch):
+    path = scratch_path(spark, "test-recover")
+    spark.range(100).repartition(4).write.parquet(path)
+    old = [f for f, _ in touched_files(spark.read.parquet(path))]
+    new = spark.range(100, 150)
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    # Before the list of replaced files is there, nothing has happened.
+    with monkeypatch.context() as m:
+        m.setattr(rewrite, "local_frame", die)
+        with pytest.raises(KeyboardInterrupt):
+            replace_files(spark, path, old[:2], new)
+    assert spark.read.parquet(path).count() == 100
+    assert recover(spark, path) == 1 and recover(spark, path) == 0
+    assert spark.read.parquet(path).count() == 100
+    # Afterwards it is carried through, also when it died among the moves.
+    with monkeypatch.context() as m:
+        m.setattr(rewrite._Files, "remove", die)
+        with pytest.raises(KeyboardInterrupt):
+            replace_files(spark, path, old, new)
+    assert recover(spark, path) == 1
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(100, 150))
+
+
+def test_tables_are_merged_and_optimised_in_place(spark, table):
+    df = spark.range(300).select("id", F.lit("a").alias("v"), (F.col("id") % 2).cast("string").alias("p"))
+    create_or_merge(df.repartition(3), table, ["id"], ["p"])
+    for name in ("0", "1"):
+        df.where(F.col("p") == name).limit(0).write.insertInto(table)
+    before = {f for f, _ in touched_files(spark.table(table), "p = '1'")}
+    change = spark.createDataFrame([(4, "b", "0"), (1000, "b", "new")], "id long, v string, p string")
+    create_or_merge(change, table, ["id"])
+    assert {f for f, _ in touched_files(spark.table(table), "p = '1'")} == before
+    assert spark.table(table).where("v = 'b'").count() == 2 and spark.table(table).count() == 301
+    optimize_table(spark, table, where="p = '0'")
+    assert len(touched_files(spark.table(table), "p = '0'")) == 1
+    assert {f for f, _ in touched_files(spark.table(table), "p = '1'")} == before
+    assert spark.table(table).count() == 301
