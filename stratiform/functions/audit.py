@@ -18,14 +18,19 @@ def clock(now: datetime | None = None) -> Column:
     return F.lit(now if now.tzinfo else now.replace(tzinfo=UTC)).cast("timestamp")
 
 
+def _own(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns if c != "_metadata"]
+
+
 def with_audit(df: DataFrame, now: datetime | None = None) -> DataFrame:
     """Add ingestion time and date plus the name and age of the file a row came from.
 
-    ``df`` has to be a file scan: the file columns come from its hidden metadata.
+    ``df`` has to be a file scan, whose hidden metadata tells the file, or a union of
+    scans that carries it as a column ``_metadata`` (which is dropped).
     """
     at = clock(now)
     return df.select(
-        "*",
+        *_own(df),
         at.alias("_ingestion_timestamp"),
         F.to_date(at).alias("_ingestion_date"),
         F.col("_metadata.file_path").alias("_source_file"),
@@ -39,7 +44,7 @@ def with_run_metadata(
     """Text-typed run columns for raw layers that keep everything as text."""
     at = clock(now)
     return df.select(
-        "*",
+        *_own(df),
         at.cast("string").alias("ingestion_timestamp"),
         F.col("_metadata.file_path").alias("source_file"),
         F.to_date(at).cast("string").alias("processing_date"),

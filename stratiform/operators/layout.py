@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -240,3 +241,36 @@ def layout_stats(df: DataFrame) -> DataFrame:
         F.avg("row_count").alias("avg_rows_per_file"),
         F.array_join(F.max(parts), ",").alias("partition_columns"),
     )
+
+
+def cluster_depth(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """How much the files of a scan overlap in each column: the fewer, the better clustered.
+
+    Columns: column_name, num_files (with a value), max_depth (most files whose bounds
+    hold one value) and avg_overlap (files, itself included, that a file's bounds meet).
+    Bounds come from one aggregate by file.  A sweep over their ends, two rows a file,
+    then counts the bounds begun and ended so far; starts sort before ends at one value.
+    """
+    by_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        *(f(F.col(f"`{c}`")).alias(f"{end}{i}") for i, c in enumerate(columns) for f, end in ((F.min, "lo"), (F.max, "hi")))
+    )
+    bounds = reliable_checkpoint(by_file)
+    out = []
+    for i, c in enumerate(columns):
+        ends = bounds.where(F.col(f"lo{i}").isNotNull()).select(
+            "file", F.inline(F.array(*(F.struct(F.col(f"{end}{i}").alias("at"), F.lit(k).alias("kind")) for k, end in enumerate(("lo", "hi")))))
+        )
+        sweep = Window.orderBy("at", "kind").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        begun = F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(sweep)
+        ended = F.sum("kind").over(sweep)
+        counted = ends.select("file", "kind", begun.alias("begun"), ended.alias("ended"))
+        # A file meets those begun when it ends, but for those ended before it begins.
+        out.append(
+            counted.agg(
+                F.lit(c).alias("column_name"),
+                F.sum("kind").alias("num_files"),
+                F.max(F.when(F.col("kind") == 0, F.col("begun") - F.col("ended"))).alias("max_depth"),
+                (F.sum(F.when(F.col("kind") == 1, F.col("begun")).otherwise(-F.col("ended"))) / F.sum("kind")).alias("avg_overlap"),
+            )
+        )
+    return reduce(DataFrame.unionByName, out)

@@ -119,8 +119,12 @@ def scd2(
 
     ``history`` has the keys, the tracked columns and ``valid_from``, ``valid_to``
     and ``is_current``.  A changed row is closed and reopened with its new values,
-    an unknown key opens a row, and a key missing from the snapshot stays open.
+    an unknown key opens a row, and a key missing from the snapshot stays open.  The
+    snapshot holds a key once, and the history one open row of it; otherwise this raises,
+    for repeated rows would pair with all their namesakes.  NULL keys match nothing.
     """
+    check_unique(history.where("is_current"), keys, "the open rows of the history")
+    check_unique(snapshot, keys, "the snapshot")
     columns = [*keys, *tracked, "valid_from", "valid_to", "is_current"]
     closed = history.where(~F.col("is_current")).select(*columns)
     current = history.where("is_current").select(*keys, *tracked, "valid_from")

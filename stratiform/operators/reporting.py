@@ -51,9 +51,21 @@ def revenue_by_month(zone_monthly: DataFrame) -> DataFrame:
 
 
 def bernoulli_sample(
-    df: DataFrame, fraction: float = SAMPLE_FRACTION, seed: int = SAMPLE_SEED
+    df: DataFrame,
+    fraction: float = SAMPLE_FRACTION,
+    seed: int = SAMPLE_SEED,
+    keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    return df.sample(False, fraction, seed)
+    """Each row with probability ``fraction``, decided by a hash of its ``keys`` (all columns).
+
+    The same rows are taken however the frame is partitioned or recomputed, which a
+    random generator per task cannot promise.  Rows with equal keys share their fate.
+    """
+    names = df.columns if keys is None else keys
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in names]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+    return df.where(draw < F.lit(round(fraction * 2**52)))
 
 
 def trips_by_dow(df: DataFrame, date_col: str = "pickup_datetime") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stratiform.operators.access import mask_columns, row_filter
 from stratiform.operators.merge import scd2, snapshot_diff
 from stratiform.plans.registry import dbl, query
+from stratiform.session import reliable_checkpoint
 from stratiform.sources import star_table
 
 
@@ -88,6 +89,53 @@ def slv_scd2(spark, sf):
     )
 
 
+_SNAPSHOTS = ("2024-01-01", "2024-02-01", "2024-03-01")
+
+# The segment of each customer in each month: some change once or twice, some come late,
+# some miss a month.
+_MONTHS = """months AS (
+  SELECT c_custkey, day,
+         CASE WHEN c_custkey % 3 = 0 AND day >= '2024-02-01' THEN 'MOVED' ELSE c_mktsegment END
+           || CASE WHEN c_custkey % 5 = 0 AND day >= '2024-03-01' THEN '+' ELSE '' END AS c_mktsegment
+  FROM customer, (VALUES ('2024-01-01'), ('2024-02-01'), ('2024-03-01')) AS days(day)
+  WHERE NOT (c_custkey % 7 = 0 AND day < '2024-02-01') AND NOT (c_custkey % 11 = 0 AND day = '2024-02-01'))"""
+
+
+@query(
+    "slv_scd2_snapshots",
+    f"""WITH {_MONTHS},
+        changes AS (
+          SELECT *, coalesce(lag(c_mktsegment) OVER (PARTITION BY c_custkey ORDER BY day) <> c_mktsegment, true) AS opens
+          FROM months)
+        SELECT c_custkey, c_mktsegment, day AS valid_from,
+               lead(day) OVER (PARTITION BY c_custkey ORDER BY day) AS valid_to,
+               lead(day) OVER (PARTITION BY c_custkey ORDER BY day) IS NULL AS is_current
+        FROM changes WHERE opens""",
+)
+def slv_scd2_snapshots(spark, sf):
+    """Three monthly snapshots folded into one history, starting from an empty one."""
+    customers = star_table(spark, sf, "customer")
+    key = F.col("c_custkey")
+    history = customers.limit(0).select(
+        "c_custkey",
+        "c_mktsegment",
+        *(F.lit(None).cast("date").alias(c) for c in ("valid_from", "valid_to")),
+        F.lit(True).alias("is_current"),
+    )
+    for month, day in enumerate(_SNAPSHOTS):
+        segment = F.concat(
+            F.when((key % 3 == 0) & F.lit(month >= 1), "MOVED").otherwise(F.col("c_mktsegment")),
+            F.when((key % 5 == 0) & F.lit(month >= 2), "+").otherwise(""),
+        )
+        there = ~((key % 7 == 0) & F.lit(month < 1)) & ~((key % 11 == 0) & F.lit(month == 1))
+        snapshot = customers.where(there).select("c_custkey", segment.alias("c_mktsegment"))
+        # Kept, so that the next step does not compute all earlier ones again.
+        history = reliable_checkpoint(
+            scd2(history, snapshot, ["c_custkey"], ["c_mktsegment"], F.to_date(F.lit(day)))
+        )
+    return history
+
+
 @query(
     "sec_masked_region",
     f"""SELECT c_custkey, 'REDACTED' AS c_name, {dbl("c_acctbal")} AS c_acctbal

@@ -34,7 +34,7 @@ def ingest_folder(
     now: datetime | None = None,
 ) -> list[str]:
     """Append the Parquet and CSV files of a folder to their raw tables; returns these."""
-    routed = route_by_format(spark, root, table)
+    routed = route_by_format(spark, root, table, lineage=True)
     for name, df in routed.items():
         append_or_create(with_audit(df, now), name, partition_by)
     return list(routed)

@@ -79,10 +79,15 @@ def rpt_trips_dow(spark, sf):
     return rp.trips_by_dow(trips(spark, sf, ("pickup_datetime",)))
 
 
-@query("rpt_sample")
+@query(
+    "rpt_sample",
+    f"WITH {TRIPS} SELECT isodow(pickup_datetime) - 1 AS dow, count(*) AS trips FROM trips "
+    "WHERE ('0x' || substr(md5('7|' || trip_id), 1, 13))::BIGINT < round(0.05 * 4503599627370496) GROUP BY 1",
+)
 def rpt_sample(spark, sf):
     """Weekday counts over a Bernoulli sample."""
-    return rp.trips_by_dow(rp.bernoulli_sample(trips(spark, sf, ("pickup_datetime",))))
+    sample = rp.bernoulli_sample(trips(spark, sf, ("trip_id", "pickup_datetime")), keys=["trip_id"])
+    return rp.trips_by_dow(sample)
 
 
 @query(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stratiform.functions.audit import with_audit
 from stratiform.operators.enrich import enrich
-from stratiform.operators.layout import compact, file_stats, layout_stats, zorder
+from stratiform.operators.layout import cluster_depth, compact, file_stats, layout_stats, zorder
 from stratiform.operators.merge import upsert
 from stratiform.plans.registry import dbl, query
 from stratiform.session import scratch_path
 from stratiform.sinks import (
+    accepted,
     append_or_create,
     compact_files,
     copy_into,
@@ -17,6 +19,8 @@ from stratiform.sinks import (
     loaded,
     merge_files,
     overwrite_table,
+    quarantined,
+    write_checked,
     write_gold,
 )
 from stratiform.sources import (
@@ -418,3 +422,80 @@ def lay_file_stats(spark, sf):
     path = scratch_path(spark, "stats")
     compact(star_table(spark, sf, "lineitem"), path, partition_by=["l_returnflag"])
     return layout_stats(spark.read.parquet(path))
+
+
+_CLUSTERED = ("l_shipdate", "l_partkey")
+
+
+@query(
+    "lay_cluster_depth",
+    """SELECT unnest(['l_shipdate', 'l_partkey']) AS column_name, true AS all_overlap_before,
+              true AS less_after, true AS as_compared_pairwise""",
+)
+def lay_cluster_depth(spark, sf):
+    """Overlap of files before and after clustering; the sweep against a comparison of all pairs."""
+    path = scratch_path(spark, "depth")
+    lines = star_table(spark, sf, "lineitem").select(*_CLUSTERED)
+    lines.repartition(16).write.parquet(f"{path}/before")
+    zorder(lines, list(_CLUSTERED), partitions=16).write.parquet(f"{path}/after")
+    before, after = (spark.read.parquet(f"{path}/{t}") for t in ("before", "after"))
+
+    def pairwise(df):
+        """The mean overlap by definition, over the list of files."""
+        parts = []
+        for c in _CLUSTERED:
+            bounds = df.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+            other = bounds.select(F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+            met = bounds.join(other, (F.col("lo") <= F.col("hi2")) & (F.col("lo2") <= F.col("hi")))
+            parts.append(met.agg(F.lit(c).alias("column_name"), (F.count("*") / F.count_distinct("f")).alias("pairwise")))
+        return parts[0].unionByName(parts[1])
+
+    was = cluster_depth(before, _CLUSTERED)
+    now = cluster_depth(after, _CLUSTERED).withColumnsRenamed({"avg_overlap": "now", "max_depth": "now_depth"}).drop("num_files")
+    return (
+        was.join(now, "column_name")
+        .join(pairwise(after), "column_name")
+        .select(
+            "column_name",
+            ((F.col("avg_overlap") == F.col("num_files")) & (F.col("max_depth") == F.col("num_files"))).alias("all_overlap_before"),
+            ((F.col("now") < F.col("avg_overlap")) & (F.col("now_depth") < F.col("max_depth"))).alias("less_after"),
+            (F.abs(F.col("now") - F.col("pairwise")) < 1e-9).alias("as_compared_pairwise"),
+        )
+    )
+
+
+@query(
+    "brz_mixed_tree",
+    """SELECT CASE o_orderstatus WHEN 'F' THEN 'parquet' WHEN 'O' THEN 'csv' ELSE 'json' END AS source_format,
+              count(*) AS rows, true AS has_file_time, max(o_orderkey) AS last_key FROM orders GROUP BY 1""",
+)
+def brz_mixed_tree(spark, sf):
+    """Rows of a mixed folder with their files, counted by format."""
+    audited = with_audit(read_tree(spark, _mixed_tree(spark, sf), lineage=True))
+    return audited.groupBy(F.regexp_extract("_source_file", r"\.([a-z]+)$", 1).alias("source_format")).agg(
+        F.count("*").alias("rows"),
+        F.bool_and(F.col("_source_modified_time").isNotNull()).alias("has_file_time"),
+        F.max(F.col("o_orderkey").cast("bigint")).alias("last_key"),
+    )
+
+
+@query(
+    "slv_quarantine",
+    """WITH checked AS (
+         SELECT *, concat_ws(';', CASE WHEN NOT coalesce(o_totalprice > 50000, false) THEN 'large' END,
+                             CASE WHEN NOT coalesce(o_orderstatus <> 'P', false) THEN 'settled' END,
+                             CASE WHEN NOT coalesce(o_custkey % 97 <> 0, false) THEN 'customer' END) AS broken FROM orders)
+       SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, CASE WHEN broken = '' THEN 'accepted' ELSE 'quarantined' END AS side,
+              CASE WHEN broken <> '' THEN broken END AS errors FROM checked""",
+)
+def slv_quarantine(spark, sf):
+    """Orders written under three constraints, in two halves; both sides are returned."""
+    path = scratch_path(spark, "quarantine")
+    orders = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    rules = {"large": "o_totalprice > 50000", "settled": F.col("o_orderstatus") != "P", "customer": "o_custkey % 97 <> 0"}
+    early = F.col("o_orderkey") % 2 == 0
+    write_checked(orders.where(early), path, rules)
+    write_checked(orders.where(~early), path, rules, mode="append")
+    good = accepted(spark, path).select("*", F.lit("accepted").alias("side"), F.lit(None).cast("string").alias("errors"))
+    bad = quarantined(spark, path).select(*orders.columns, F.lit("quarantined").alias("side"), F.col("_validation_errors").alias("errors"))
+    return good.unionByName(bad)

@@ -1,6 +1,7 @@
 """Writers: appends, overwrites, merges and idempotent file loads."""
 
 from stratiform.sinks.copy_into import LoadConflict, copy_into, load_batch, loaded, loaded_files, schema_versions
+from stratiform.sinks.quarantine import accepted, quarantined, write_checked
 from stratiform.sinks.rewrite import compact_files, merge_files, recover, replace_files
 from stratiform.sinks.tables import (
     append_or_create,
@@ -13,6 +14,7 @@ from stratiform.sinks.tables import (
 
 __all__ = [
     "LoadConflict",
+    "accepted",
     "append_or_create",
     "append_results",
     "compact_files",
@@ -24,8 +26,10 @@ __all__ = [
     "merge_files",
     "optimize_table",
     "overwrite_table",
+    "quarantined",
     "recover",
     "replace_files",
     "schema_versions",
+    "write_checked",
     "write_gold",
 ]

@@ -11,15 +11,17 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiform.functions.audit import with_audit, with_run_metadata
 from stratiform.operators.access import mask_columns, row_filter
 from stratiform.operators.dimension import dimension, surrogate_key
 from stratiform.operators.enrich import checked_broadcast, enrich
-from stratiform.operators.layout import compact, file_stats, layout_stats, z_value, zorder
+from stratiform.operators.layout import cluster_depth, compact, file_stats, layout_stats, z_value, zorder
 from stratiform.operators.merge import AmbiguousMatch, scd2, snapshot_diff, upsert
+from stratiform.operators.reporting import bernoulli_sample
 from stratiform.session import scratch_path, shuffle_partitions_for
 from stratiform.sinks import (
-    LoadConflict, append_or_create, compact_files, copy_into, create_or_merge, loaded, loaded_files, merge_files,
-    optimize_table, recover, replace_files, rewrite, schema_versions, write_gold,
+    LoadConflict, accepted, append_or_create, compact_files, copy_into, create_or_merge, loaded, loaded_files, merge_files,
+    optimize_table, quarantined, recover, replace_files, rewrite, schema_versions, write_checked, write_gold,
 )
 from stratiform.sinks.copy_into import conform
 from stratiform.sinks.rewrite import first_fit_decreasing, touched_files
@@ -506,3 +508,75 @@ def test_tables_are_merged_and_optimised_in_place(spark, table):
     assert len(touched_files(spark.table(table), "p = '0'")) == 1
     assert {f for f, _ in touched_files(spark.table(table), "p = '1'")} == before
     assert spark.table(table).count() == 301
+
+
+def test_folders_route_files_without_an_ending(spark, tmp_path):
+    (tmp_path / "in" / "csv").mkdir(parents=True)
+    (tmp_path / "in" / "csv" / "data").write_text("i,s\n1,x\n")
+    (tmp_path / "in" / "other").mkdir()
+    (tmp_path / "in" / "other" / "more.csv").write_text("i,s\n2,y\n")
+    (tmp_path / "in" / "note.txt").write_text("no table")
+    spark.createDataFrame([(3, "z")], "i int, s string").write.parquet(str(tmp_path / "in" / "csv" / "parquet"))
+    for part in (tmp_path / "in" / "csv" / "parquet").glob("*.parquet"):
+        part.rename(part.with_suffix(""))
+    routed = route_by_format(spark, str(tmp_path / "in"), "t", lineage=True)
+    assert list(routed) == ["t", "t_csv"]
+    assert rows(routed["t"].select("i", "s")) == [(3, "z")]
+    assert rows(routed["t_csv"].select("i", "s")) == [(1, "x"), (2, "y")]
+    audited = with_audit(routed["t_csv"])
+    assert "_metadata" not in audited.columns
+    assert {Path(r["_source_file"]).name for r in audited.collect()} == {"data", "more.csv"}
+
+
+def test_lineage_through_a_mixed_tree(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "i int, s string")
+    df.write.parquet(str(tmp_path / "p"))
+    df.write.json(str(tmp_path / "j"))
+    df.drop("s").write.option("header", True).csv(str(tmp_path / "c"))
+    tree = read_tree(spark, str(tmp_path), lineage=True)
+    got = {Path(r.source_file).suffix: (r.i, r.s, r.year) for r in with_run_metadata(tree, "2024", "r").collect()}
+    assert got == {".parquet": ("1", "a", "2024"), ".json": ("1", "a", "2024"), ".csv": ("1", None, "2024")}
+
+
+def test_repeated_open_rows_raise_in_history(spark):
+    from stratiform.operators.merge import RepeatedKey
+
+    schema = "k int, v string, valid_from date, valid_to date, is_current boolean"
+    day = dt.date(2024, 1, 1)
+    closed = [(1, "a", day, day, False)] * 3
+    history = spark.createDataFrame([(1, "b", day, None, True), *closed], schema)
+    once = spark.createDataFrame([(1, "c"), (None, "x"), (None, "x")], "k int, v string")
+    at = F.to_date(F.lit("2024-02-01"))
+    assert scd2(history, once, ["k"], ["v"], at).count() == 7
+    with pytest.raises(RepeatedKey):
+        scd2(history, once.unionAll(once), ["k"], ["v"], at)
+    with pytest.raises(RepeatedKey):
+        scd2(history.unionAll(history), once, ["k"], ["v"], at)
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("n"))
+    once = rows(bernoulli_sample(df.repartition(3), 0.1))
+    assert once == rows(bernoulli_sample(df.repartition(17, "n"), 0.1)) and 1800 < len(once) < 2200
+    assert once != rows(bernoulli_sample(df, 0.1, seed=8))
+    assert bernoulli_sample(df, 1.0).count() == 20_000 and bernoulli_sample(df, 0.0).count() == 0
+
+
+def test_depth_of_overlapping_files(spark):
+    path = scratch_path(spark, "test-depth")
+    for lo, hi in ((0, 10), (5, 15), (10, 20), (30, 30), (30, 40), (None, None)):
+        spark.createDataFrame([(lo, 1), (hi, 1)], "a int, b int").coalesce(1).write.mode("append").parquet(path)
+    got = {r.column_name: r for r in cluster_depth(spark.read.parquet(path), ["a", "b"]).collect()}
+    # Bounds that touch overlap: the first three all meet each other, and so do the last two.
+    assert (got["a"].num_files, got["a"].max_depth, got["a"].avg_overlap) == (5, 3, 13 / 5)
+    assert (got["b"].num_files, got["b"].max_depth, got["b"].avg_overlap) == (6, 6, 6.0)
+
+
+def test_checked_writes_take_both_sides_in_one_pass(spark):
+    path = scratch_path(spark, "test-quarantine")
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "k int, v string")
+    write_checked(df, path, {"has_k": "k IS NOT NULL", "short": "length(v) < 5"})
+    assert rows(accepted(spark, path)) == [(1, "a")]
+    assert rows(quarantined(spark, path)) == [(2, None, "short"), (None, "c", "has_k")]
+    write_checked(df.limit(1), path, {}, mode="append")
+    assert accepted(spark, path).count() == 2
