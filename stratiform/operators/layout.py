@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratiform.operators.profiling import profile
+from stratiform.operators.profiling import LOSSLESS_JSON, profile
 from stratiform.session import partitions_of, reliable_checkpoint
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -183,7 +183,7 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            c = F.to_json(c)
+            c = F.to_json(c, LOSSLESS_JSON)
         width = F.when(c.isNotNull(), _width(f))
         parts += [
             F.min(c).cast("string").alias(f"_lo{i}"),

@@ -31,7 +31,7 @@ TEXT_TYPES = ("string", "varchar")
 _LONG_TEXT = 64
 
 # JSON that tells all values apart; by default it cuts times to milliseconds.
-_LOSSLESS_JSON = {
+LOSSLESS_JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "ignoreNullFields": "false",
@@ -49,7 +49,7 @@ def _group_key(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.BinaryType):
         col = F.hex(col)
     elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
-        col = F.to_json(col, _LOSSLESS_JSON)
+        col = F.to_json(col, LOSSLESS_JSON)
     elif not isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType)):
         return col
     digest = F.concat(F.lit("#"), F.sha2(col.cast("binary"), 256))

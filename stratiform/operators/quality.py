@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from stratiform.config import SILVER_ADDED_COLUMNS
 from stratiform.functions.audit import clock
-from stratiform.session import local_frame
+from stratiform.session import local_frame, written
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -459,14 +459,20 @@ def suite(
     excluded: Sequence[str] = SILVER_ADDED_COLUMNS,
     now: datetime | None = None,
 ) -> DataFrame:
-    """The five cross-layer checks as one frame."""
+    """The five cross-layer checks as one frame.
+
+    Three of them read the silver rows, which may be costly to make: the columns they use
+    are written once.
+    """
+    limits = null_limits or {}
+    kept = written(silver.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keys, *limits]))), "suite")
     return reduce(
         DataFrame.unionByName,
         [
-            row_counts(bronze, silver, row_tolerance_pct, names, now),
+            row_counts(bronze, kept, row_tolerance_pct, names, now),
             schema_consistency(bronze, silver, excluded, names, now),
-            null_pct(silver, null_limits or {}, names[1], now),
-            duplicates(silver, keys, 0.0, names[1], now),
+            null_pct(kept, limits, names[1], now),
+            duplicates(kept, keys, 0.0, names[1], now),
             freshness(bronze, ts_col, max_age_hours, now, names[0]),
         ],
     )

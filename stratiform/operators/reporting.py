@@ -7,11 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratiform.operators.cleansing import business_columns
 from stratiform.operators.quality import flag_counts, key_counts, percent
 from stratiform.operators.rollup import mean
-from stratiform.session import local_frame
+from stratiform.session import local_frame, written
 
 # Bands of the NULL report, in percent.
 LOW_NULLS = 5.0
@@ -159,8 +160,9 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
     If all values are equal they fall into the first bin.  ``mean_value`` repeats
     the mean of the column.
     """
-    x = F.col(column).cast("double")
-    # Two scans without a shuffle of values: the range first, then the counts.
+    # The range first, then the counts: two scans of the one column, and no shuffle of values.
+    df = written(df.select(F.col(f"`{column}`").cast("double").alias("x")), "histogram")
+    x = F.col("x")
     stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("mean")).first()
     lo, hi = F.lit(stats.lo).cast("double"), F.lit(stats.hi).cast("double")
     width = (hi - lo) / F.lit(float(bins))
@@ -224,13 +226,17 @@ def dedup_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def dashboard(layers: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows, columns and valid share per layer, each from one scan."""
+def dashboard(layers: Mapping[str, DataFrame], columns: Mapping[str, int] | None = None) -> DataFrame:
+    """Rows, columns and valid share per layer, each from one scan.
+
+    ``columns`` tells how many a layer has whose frame holds only those that are used.
+    """
+    widths = columns or {}
     parts = [
         df.agg(F.count("*").alias("record_count"), _valid_pct(df).alias("valid_pct")).select(
             F.lit(name).alias("layer"),
             "record_count",
-            F.lit(len(df.columns)).cast("long").alias("column_count"),
+            F.lit(widths.get(name, len(df.columns))).cast("long").alias("column_count"),
             "valid_pct",
         )
         for name, df in layers.items()
@@ -246,4 +252,6 @@ def table_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def most_recent(df: DataFrame, date_col: str, n: int = 10) -> DataFrame:
-    return df.orderBy(F.desc(date_col)).limit(n)
+    """The ``n`` newest rows; rows of one date are ordered by their other columns."""
+    others = [f.name for f in df.schema if f.name != date_col and not isinstance(f.dataType, T.MapType)]
+    return df.orderBy(F.desc(date_col), *(F.col(f"`{c}`") for c in others)).limit(n)

@@ -7,6 +7,7 @@ from stratiform.plans import (  # noqa: F401
     feature_queries,
     gold_queries,
     history_queries,
+    layer_queries,
     quality_queries,
     report_queries,
     silver_queries,

@@ -97,3 +97,15 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Keep a frame as a Parquet table in the shared folder, and read it back.
+
+    For frames that several aggregates read: select the columns these use first.  Counts
+    are taken from the table and not collected while it is written, since metrics that
+    tasks report count twice when a lost executor's tasks run again.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
