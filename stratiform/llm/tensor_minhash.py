@@ -17,13 +17,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm.common import components, partitions_for, slices, small_batches, staged
 from stratiform.llm.textbits import LOWER, Prefix, U, Words, flat, mix, ragged
 
 
+# Rows of a block of a table in the second round.
+BLOCK_ROWS = 1024
+
+# A filter of documents takes this many bits each, but no more than so many bytes.
+FILTER_BITS, FILTER_BYTES = 16, 64 * 1024 * 1024
+_FILTER_PROBES = 3
+_BITMAP = 32768  # bits of a bitmap that Spark aggregates
+
+
 @dataclass(frozen=True)
 class Banding:
     shingle: int = 5  # words
@@ -246,14 +255,14 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _cross(b: Banding, at_once: int = 2048):
-    """Links across components that meet in a table of the second round, block by block.
+    """Links across components that meet in a cell of a table of the second round.
 
     Sets are at hand, so that only links leave the task.  A link joins its components,
     whose members are not compared again.
     """
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, packed = ("tab", "doc_id", "n", "component_id"), ("right", "parity")
+        plain, packed = ("tab", "lo", "hi", "side", "doc_id", "n", "component_id"), ("right", "parity")
         got = [
             (*(batch.column(c).to_numpy() for c in plain), *(b"".join(batch.column(c).to_pylist()) for c in packed), batch.column("members").to_pylist())
             for batch in batches
@@ -261,20 +270,23 @@ def _cross(b: Banding, at_once: int = 2048):
         ]
         if not got:
             return
-        tab, doc, n, comp = (np.concatenate([g[i] for g in got]) for i in range(4))
-        right, parity = (np.frombuffer(b"".join(g[i] for g in got), U).reshape(len(doc), -1) for i in (4, 5))
-        members = [np.frombuffer(x, U) for g in got for x in g[6]]
+        tab, lo, hi, side, doc, n, comp = (np.concatenate([g[i] for g in got]) for i in range(7))
+        right, parity = (np.frombuffer(b"".join(g[i] for g in got), U).reshape(len(doc), -1) for i in (7, 8))
+        members = [np.frombuffer(x, U) for g in got for x in g[9]]
         del got
-        order = np.lexsort((n, tab))
-        tab, doc, n, comp = tab[order], doc[order], n[order], comp[order]
-        for begin, length in zip(*_runs(tab, 2)):
+        cell = mix(mix(tab.view(U)) ^ (lo.astype(U) << U(32)) ^ hi.astype(U))
+        order = np.lexsort((n, cell))
+        cell, side, doc, n, comp = cell[order], side[order], doc[order], n[order], comp[order]
+        across = (lo != hi)[order]
+        for begin, length in zip(*_runs(cell, 2)):
             end = begin + length
             for i in range(begin, end - 1):
                 # Sorted by size: partners end where sets become too large.
                 stop = begin + np.searchsorted(n[begin:end], n[i] * 100 // b.similarity, "right")
                 for k in range(i + 1, stop, at_once):
                     s = np.arange(k, min(k + at_once, stop))
-                    s = s[comp[s] != comp[i]]
+                    # Between two blocks, rows of one are left to that block's own cell.
+                    s = s[(comp[s] != comp[i]) & (~across[s] | (side[s] != side[i]))]
                     s = s[(right[order[s]] == right[order[i]]).any(axis=1)]
                     one = order[i : i + 1]
                     s = s[may_link(n[i : i + 1], n[s], parity[one], parity[order[s]], b.similarity)]
@@ -289,6 +301,19 @@ def _cross(b: Banding, at_once: int = 2048):
     return cross
 
 
+def _cells(tables: DataFrame) -> DataFrame:
+    """(tab, lo, hi, side, ..): rows of tables, in cells of two blocks of a table each.
+
+    A table of more than ``BLOCK_ROWS`` rows is cut into blocks by a hash of the
+    document, and each row goes to the cells of its block with every other one, so that
+    a table that many documents share is compared by many tasks.
+    """
+    side = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    block = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+    spread = tables.withColumn("side", side).withColumn("other", block)
+    return spread.withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other")).drop("other", "blocks")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, b: Banding) -> DataFrame:
     """Pairs whose full sets are similar enough."""
 
@@ -306,6 +331,30 @@ def _verify(pairs: DataFrame, sets: DataFrame, b: Banding) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
 
 
+class IdFilter:
+    """A Bloom filter of documents: never false for one of them, seldom true for another.
+
+    Built from bitmaps that Spark aggregates; its size is bounded, and beyond the bound
+    it lets more of the others through.
+    """
+
+    def __init__(self, ids: DataFrame, count: int):
+        self.bits = int(min(FILTER_BYTES * 8, max(_BITMAP, FILTER_BITS * count)) // _BITMAP * _BITMAP)
+        at = ids.select(F.explode(self.probes("doc_id")).alias("at"))
+        maps = at.groupBy(F.floor(F.col("at") / _BITMAP).alias("map")).agg(F.bitmap_construct_agg(F.col("at") % _BITMAP).alias("bits"))
+        packed = np.zeros(self.bits // 8, np.uint8)
+        for row in maps.collect():
+            packed[row["map"] * _BITMAP // 8 :][: _BITMAP // 8] = np.frombuffer(row["bits"], np.uint8)
+        self.packed = ids.sparkSession.sparkContext.broadcast(packed)
+
+    def probes(self, column: str) -> Column:
+        return F.array(*(F.pmod(F.xxhash64(F.lit(i), F.col(column)), F.lit(self.bits)) for i in range(_FILTER_PROBES)))
+
+    def holds(self, probes: pa.Array) -> np.ndarray:
+        at = probes.flatten().to_numpy().reshape(-1, _FILTER_PROBES)
+        return (self.packed.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=1)
+
+
 def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs(doc_id, text)``.
 
@@ -325,22 +374,32 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     parts = partitions_for(docs, 8 * 1024 * 1024)
     known = docs.where("doc_id is not null")
     every = staged(sketches(known, b), "sketches")
-    rep = every.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
-    classes = every.where("n > 0").join(rep, ["h1", "h2", "n"]).select("doc_id", "n", "rep", "sketch")
+    # Written before it is joined: adaptive execution can split a class of many rows only
+    # where both sides come straight from a shuffle.
+    rep = staged(every.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = every.where("n > 0").join(rep, ["h1", "h2", "n"])
     # One row for each class, also where its smallest doc_id repeats.
-    reps = classes.where("doc_id = rep").groupBy("doc_id", "n").agg(F.min("sketch").alias("sketch"))
+    reps = staged(
+        every.where("n > 0").join(rep.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "n", "doc_id"], "left_semi")
+        .groupBy("doc_id", "h1", "h2", "n").agg(F.min("sketch").alias("sketch")).select("doc_id", "n", "sketch"),
+        "class-sketches",
+    )
     met = staged(
         reps.mapInArrow(_send(parts, b), "part long, blob binary")
-        .repartition(parts, "part")
+        .repartitionById(parts, F.col("part").cast("int"))
         .mapInArrow(_meet(b), "tab long, a long, b long, is_pair boolean"),
         "met",
     )
-    pairs = met.where("is_pair").select("a", "b").distinct()
-    tables = met.where("not is_pair").select("tab", F.col("a").alias("doc_id")).distinct()
-    candidates = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(tables.select("doc_id")).distinct()
+    pairs = staged(met.where("is_pair").select("a", "b").distinct(), "pairs")
+    tables = staged(met.where("not is_pair").select("tab", F.col("a").alias("doc_id")).distinct(), "tables")
+    candidates = staged(
+        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(tables.select("doc_id")).distinct(), "candidates"
+    )
+    chosen = IdFilter(candidates, candidates.count())
 
     def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for unfiltered in batches:
+            whole = unfiltered.filter(pa.array(chosen.holds(unfiltered.column("probes"))))
             for batch in slices(whole):
                 values, sizes = shingle_sets(batch.column("text"), b.shingle)
                 ends = np.cumsum(sizes)
@@ -350,20 +409,29 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
                     [batch.column("doc_id"), pa.array(members, pa.binary()), pa.array(parity, pa.binary())], ["doc_id", "members", "parity"]
                 )
 
-    texts = known.select("doc_id", "text").join(candidates, "doc_id", "left_semi")
+    # Texts are not shuffled: the few sets of other documents that the filter lets through
+    # find no partner in the joins below.
+    texts = known.select("doc_id", "text", chosen.probes("doc_id").alias("probes"))
     sets = staged(texts.mapInArrow(collect_sets, "doc_id long, members binary, parity binary"), "sets")
     links = staged(_verify(pairs, sets, b), "links")
     labels = components(links)
     # Second round: tables that still hold more than one component.
-    labelled = tables.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    mixed = labelled.groupBy("tab").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y")).where("x <> y")
+    labelled = staged(
+        tables.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id")), "labelled"
+    )
+    mixed = staged(
+        labelled.groupBy("tab")
+        .agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
+        .where("x <> y").select("tab", "blocks"),
+        "mixed",
+    )
     rights = reps.select("doc_id", "n", F.substring("sketch", 8 * b.bands + 1, 8 * b.bands).alias("right"))
     open_tables = (
-        labelled.join(mixed.select("tab"), "tab", "left_semi")
+        _cells(labelled.join(mixed, "tab"))
         .join(rights, "doc_id")
         .join(sets.select("doc_id", "parity", "members"), "doc_id")
     )
-    more = open_tables.repartition(parts, "tab").mapInArrow(_cross(b), "a long, b long")
+    more = open_tables.repartition(parts, "tab", "lo", "hi").mapInArrow(_cross(b), "a long, b long")
     links = links.unionAll(staged(more.distinct(), "links"))
     # Rows of one doc_id with different texts are different classes of one document.
     same_id = classes.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
