@@ -390,8 +390,8 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
         .mapInArrow(_meet(b), "tab long, a long, b long, is_pair boolean"),
         "met",
     )
-    pairs = staged(met.where("is_pair").select("a", "b").distinct(), "pairs")
-    tables = staged(met.where("not is_pair").select("tab", F.col("a").alias("doc_id")).distinct(), "tables")
+    pairs = met.where("is_pair").select("a", "b").distinct()
+    tables = met.where("not is_pair").select("tab", F.col("a").alias("doc_id")).distinct()
     candidates = staged(
         pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(tables.select("doc_id")).distinct(), "candidates"
     )
@@ -419,11 +419,10 @@ def near_duplicates(docs: DataFrame, banding: Banding | None = None) -> DataFram
     labelled = staged(
         tables.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id")), "labelled"
     )
-    mixed = staged(
+    mixed = (
         labelled.groupBy("tab")
         .agg(F.min("component_id").alias("x"), F.max("component_id").alias("y"), F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
-        .where("x <> y").select("tab", "blocks"),
-        "mixed",
+        .where("x <> y").select("tab", "blocks")
     )
     rights = reps.select("doc_id", "n", F.substring("sketch", 8 * b.bands + 1, 8 * b.bands).alias("right"))
     open_tables = (
