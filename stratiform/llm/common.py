@@ -100,6 +100,23 @@ def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     return placed.join(offsets, "_part").withColumn(name, F.col("_before") + place).drop("_id", "_part", "_before")
 
 
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, text) for every row; keys differ and order rows by ``doc_id``.
+
+    Where ids differ and none is null they are the keys.  Otherwise rows are written with
+    a number each and put in order: null first, rows of one id by their texts' hashes.
+    A null text becomes empty.
+    """
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    twice = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    if twice.isEmpty():
+        return rows.select(F.col("doc_id").alias("key"), "doc_id", "text")
+    rows = staged(rows.withColumn("_seq", F.monotonically_increasing_id()).withColumn("_hash", F.xxhash64("text")), "rows")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("_hash"), F.col("_seq")]
+    keys = numbered(rows.select("doc_id", "_hash", "_seq"), order, "key").select("_seq", "key")
+    return rows.join(keys, "_seq").select("key", "doc_id", "text")
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``.
 

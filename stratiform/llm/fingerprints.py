@@ -9,10 +9,10 @@ by chance is taken out of the likeness.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import let, staged
+from stratiform.llm.common import keyed_texts, let, numbered, staged
 
 SHINGLE_WORDS = 5
 BINS, BITS = 256, 4
@@ -20,8 +20,6 @@ BINS, BITS = 256, 4
 TRIES = 6
 
 _EMPTY = (1 << 32) - 1
-# Ranges of ids in which neighbours are found; each holds about this many ids.
-CHUNK_ROWS = 250_000
 
 
 def words(text: Column) -> Column:
@@ -120,80 +118,59 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, next_id, next_chars): the next smaller id of each, cyclically.
+    """(key, n_chars, next_key): the next smaller key of each, cyclically.
 
-    Ids are compared within ranges between quantiles; a range passes its largest id to
-    the range above.  Only bounds and one row for each range are seen in one place.
+    Keys are numbered by ranges; the next smaller one has the number before, and the
+    smallest is followed by the largest.
     """
-    n = ids.count()
-    chunks = 16 + n // CHUNK_ROWS
-    bounds = sorted(set(ids.approxQuantile("doc_id", [i / chunks for i in range(1, chunks)], 0.1 / chunks))) if n else []
-    chunk = F.lit(0)
-    for b in bounds:
-        chunk = chunk + (F.col("doc_id") > int(b)).cast("int")
-    known = ids.withColumn("_chunk", chunk)
-    down = Window.partitionBy("_chunk").orderBy("doc_id")
-    pair = F.struct("doc_id", "n_chars")
-    inner = known.withColumn("_next", F.lag(pair).over(down))
-    largest = known.groupBy("_chunk").agg(F.max(pair).alias("_top"))
-    across = Window.orderBy("_chunk")
-    last = F.last("_top").over(Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    handed = largest.select("_chunk", F.coalesce(F.lag("_top").over(across), last).alias("_hand"))
-    return (
-        inner.join(F.broadcast(handed), "_chunk")
-        .withColumn("_next", F.coalesce("_next", "_hand"))
-        .select("doc_id", "n_chars", F.col("_next.doc_id").alias("next_id"))
-    )
+    numbers = staged(numbered(ids, [F.col("key")], "nth"), "numbers")
+    before = F.when(F.col("nth") > 1, F.col("nth") - 1).otherwise(F.lit(numbers.count()))
+    other = numbers.select(F.col("nth").alias("_before"), F.col("key").alias("next_key"))
+    return numbers.withColumn("_before", before.cast("long")).join(other, "_before").select("key", "n_chars", "next_key")
 
 
-def with_edits(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_id, edited): each text, and it with its last third replaced.
+def with_edits(texts: DataFrame) -> DataFrame:
+    """(key, doc_id, text, next_key, edited): each text, and it with its last third replaced.
 
-    The last third of the code points gives way to the first as many of the next
-    document (descending ``doc_id``, the smallest one followed by the largest).  Texts
-    are shuffled once; only the beginnings travel again.
+    The last third of the code points gives way to the first as many of the next text
+    (descending ``key``, the smallest one followed by the largest).  Texts are shuffled
+    once; only the beginnings travel again.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = staged(texts.select("doc_id", F.length("text").alias("n_chars")), "ids")
+    ids = staged(texts.select("key", F.length("text").alias("n_chars")), "ids")
     near = staged(neighbours(ids), "neighbours")
-    # What a document lends: as many characters as the one before it in the order asks for.
-    asked = near.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("by"), (F.floor(F.col("n_chars") / 3)).cast("int").alias("chars"))
-    lent = texts.join(asked, "doc_id").select(F.col("by").alias("doc_id"), F.substring("text", F.lit(1), F.col("chars")).alias("lent"))
+    # What a text lends: as many characters as the one before it in the order asks for.
+    asked = near.select(F.col("next_key").alias("key"), F.col("key").alias("by"), (F.floor(F.col("n_chars") / 3)).cast("int").alias("chars"))
+    lent = texts.join(asked, "key").select(F.col("by").alias("key"), F.substring("text", F.lit(1), F.col("chars")).alias("lent"))
     n = F.length("text")
     keep = (n - F.floor(n / 3)).cast("int")
-    return texts.join(lent, "doc_id").select(
-        "doc_id", "text", F.concat(F.substring("text", F.lit(1), keep), "lent").alias("edited")
-    ).join(near.select("doc_id", "next_id"), "doc_id")
+    edited = F.concat(F.substring("text", F.lit(1), keep), "lent").alias("edited")
+    return texts.join(lent, "key").select("key", "doc_id", "text", edited).join(near.select("key", "next_key"), "key")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row for each ``doc_id``: fingerprints of its text and of its edited text.
+    """One row for each row of ``docs``: fingerprints of its text and of its edited text.
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next.  A null text counts as empty.  Of rows that repeat a
-    ``doc_id`` the one with the greatest text is taken, as is done for rows without
-    one, which come last in the order.  Other columns are ignored.  An only document
-    is its own neighbour.
+    near_edited, near_next.  A null text counts as empty.  Rows without ``doc_id`` come
+    last in the descending order; rows that repeat one stand side by side, by their
+    texts.  Other columns are ignored.  An only row is its own neighbour.
     """
-    filled = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    repeated = filled.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.isEmpty():
-        filled = filled.groupBy("doc_id").agg(F.max("text").alias("text"))
     done = staged(
-        with_edits(filled).select(
+        with_edits(keyed_texts(docs)).select(
+            "key",
             "doc_id",
             F.length("text").cast("long").alias("n_chars"),
             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
             fingerprint(F.col("text")).alias("fingerprint"),
             fingerprint(F.col("edited")).alias("edited_fingerprint"),
-            "next_id",
+            "next_key",
         ),
         "fingerprints",
     )
-    other = done.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("_next"))
-    near = done.join(other, "next_id")
+    other = done.select(F.col("key").alias("next_key"), F.col("fingerprint").alias("_next"))
+    near = done.join(other, "next_key")
     return near.select(
-        F.nullif("doc_id", F.lit(-(2**63))).alias("doc_id"),
+        "doc_id",
         "n_chars",
         "edited_sha256",
         F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import partitions_for, slices, small_batches, staged
+from stratiform.llm.common import keyed_texts, partitions_for, slices, small_batches, staged
 from stratiform.llm.textbits import Prefix, U, flat, mix, ragged
 
 LENGTH = 100
@@ -79,49 +79,121 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tupl
     return gram[pick[first]], text, start[first] - base, start[last] - base, pick[first] - base
 
 
-def previous_factor(words: np.ndarray, prints: np.ndarray, position: np.ndarray) -> np.ndarray:
-    """Which suffixes have a longest previous factor of at least the wanted length.
+def _word(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Eight bytes from each position on, as numbers in the order of the bytes."""
+    word = np.zeros(len(at), U)
+    for k in range(8):
+        word = (word << U(8)) | data[at + k].astype(U)
+    return word
 
-    ``words`` are the first eight bytes of each suffix, ``prints`` hashes of as many
-    bytes as are wanted.  Sorted by both, suffixes stand in order of their beginnings,
-    and those that share all wanted bytes are neighbours: runs within which the longest
-    common prefix never falls below the wanted length.  A factor is long enough when
-    the nearest smaller position before or after lies in the same run; for that, the
-    smallest position so far in the run is compared from either side.
-    """
-    n = len(position)
-    if n < 2:
-        return np.zeros(n, bool)
-    order = np.argsort(prints, kind="stable")
-    order = order[np.argsort(words[order], kind="stable")]
-    w, p = words[order], prints[order]
-    run = np.concatenate([[0], np.cumsum((w[1:] != w[:-1]) | (p[1:] != p[:-1]))])
-    place = np.empty(n, np.int64)
-    place[np.argsort(position, kind="stable")] = np.arange(n)
-    place = place[order]
-    runs = int(run[-1]) + 1
-    # Later runs get smaller numbers, so that a running minimum starts anew with each.
-    down = place + (runs - 1 - run) * n
-    above = np.minimum.accumulate(down)[:-1] < down[1:]
-    up = (place + run * n)[::-1]
-    below = np.minimum.accumulate(up)[:-1] < up[1:]
-    earlier = np.zeros(n, bool)
-    earlier[1:] |= above & (run[1:] == run[:-1])
-    earlier[:-1] |= below[::-1] & (run[1:] == run[:-1])
-    out = np.empty(n, bool)
-    out[order] = earlier
+
+def _differs_at(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many leading bytes two different words share."""
+    bits = (x ^ y).view(np.int64)
+    out = np.zeros(len(bits), np.int64)
+    for k in range(7):
+        out += (bits >> (56 - 8 * k)) == 0  # an arithmetic shift: any set bit stays set
     return out
 
 
-def _beginnings(data: np.ndarray, start: np.ndarray) -> np.ndarray:
-    word = np.zeros(len(start), U)
-    for k in range(8):
-        word = (word << U(8)) | data[start + k].astype(U)
-    return word
+def suffix_order(data: np.ndarray, start: np.ndarray, prints: np.ndarray, position: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in the order of their first ``length`` bytes, then of their positions.
+
+    Also returns, for every one but the first, how many bytes it shares with the one
+    before it, ``length`` at most.  ``prints`` are hashes of ``length`` bytes; suffixes
+    with equal ones are equal that far, so only one of them is sorted by its bytes:
+    eight at a time, and only as long as it is tied with a neighbour.
+    """
+    n = len(start)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    by_print = np.argsort(prints)
+    new = np.concatenate([[True], prints[by_print][1:] != prints[by_print][:-1]])
+    group = np.empty(n, np.int64)
+    group[by_print] = np.cumsum(new) - 1
+    own = start[by_print[new]]  # one suffix of each group
+    m = len(own)
+    order = np.argsort(_word(data, own))
+    shared = np.zeros(m, np.int64)  # with the one before; counts up while they are tied
+    tied = np.ones(m, bool)
+    tied[0] = False
+    for at in range(0, length, 8):
+        # The last step overlaps the one before: it must not read past the suffix.
+        at = min(at, length - 8)
+        run = np.cumsum(~tied)
+        some = np.flatnonzero(tied | np.append(tied[1:], False)) if at else np.arange(m)
+        if not len(some):
+            break
+        word = _word(data, own[order[some]] + at)
+        if at:
+            inner = np.lexsort((word, run[some]))
+            order[some], word = order[some[inner]], word[inner]
+        differs = np.zeros(len(some), bool)
+        differs[1:] = (word[1:] != word[:-1]) & tied[some[1:]]
+        where = np.flatnonzero(differs)
+        shared[some[where]] = at + _differs_at(word[where], word[where - 1])
+        tied[some[where]] = False
+    place = np.empty(m, np.int64)
+    place[order] = np.arange(m)
+    place = place[group]
+    rank = np.empty(n, np.int64)
+    rank[np.argsort(position)] = np.arange(n)
+    sort = np.argsort(place * n + rank)
+    lcp = np.full(n, length, np.int64)
+    first = np.concatenate([[True], place[sort][1:] != place[sort][:-1]])
+    lcp[first] = shared
+    return sort, lcp
+
+
+def _nearest_smaller(position: np.ndarray, lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix the nearest before it with a smaller position, and what they share.
+
+    Pointers start at the neighbour and jump on by the pointer of where they are, as all
+    between have larger positions.  One that shares fewer than ``least`` bytes stops: -1.
+    """
+    n = len(position)
+    at = np.arange(n) - 1
+    share = lcp.copy()
+    at[share < least] = -1
+    live = np.flatnonzero(at >= 0)
+    live = live[position[at[live]] > position[live]]
+    while len(live):
+        near = at[live]
+        share[live] = np.minimum(share[live], share[near])
+        at[live] = np.where(share[live] < least, -1, at[near])
+        live = live[at[live] >= 0]
+        live = live[position[at[live]] > position[live]]
+    share[at < 0] = 0
+    return at, share
+
+
+def previous_factors(
+    data: np.ndarray, start: np.ndarray, prints: np.ndarray, position: np.ndarray, length: int, least: int | None = None
+) -> np.ndarray:
+    """The longest previous factor of each suffix, ``length`` at most.
+
+    That is the most bytes that it shares with a suffix of smaller position, which is
+    the nearest one before or after it in suffix order.  Factors below ``least``
+    (``length`` unless given) count as 0 and are not searched for.
+    """
+    least = length if least is None else least
+    out = np.zeros(len(start), np.int64)
+    order, lcp = suffix_order(data, start, prints, position, length)
+    # Of equal suffixes all but the first have the one before them.
+    out[order] = np.where(lcp >= length, length, 0)
+    lead = np.flatnonzero(lcp < length)
+    if least < length and len(lead):
+        own, between = position[order[lead]], lcp[lead].copy()
+        between[0] = -1
+        _, above = _nearest_smaller(own, between, least)
+        turned = np.append(between[1:], -1)[::-1]
+        _, below = _nearest_smaller(own[::-1], turned, least)
+        out[order[lead]] = np.maximum(above, below[::-1])
+    return out
 
 
 def _covered(data: np.ndarray, prefix: Prefix, start: np.ndarray, position: np.ndarray, length: int) -> np.ndarray:
-    return previous_factor(_beginnings(data, start), prefix.of(start, start + length), position)
+    return previous_factors(data, start, prefix.of(start, start + length), position, length) >= length
 
 
 def _runs(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -370,25 +442,25 @@ def _removal(length: int):
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every document.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row of ``docs``.
 
     ``kept`` are the bytes of the UTF-8 text that stay, one after another.  Matches may
-    overlap, also with themselves, and are judged on the input.  Documents are in order
-    of ``doc_id``.  A null text counts as empty; texts shorter than ``length`` stay.  Of
-    rows that repeat a ``doc_id``, or have none (they come before all others), the
-    greatest text is taken.  Other columns are ignored.
+    overlap, also with themselves, and are judged on the input.  Rows are in order of
+    ``doc_id``; those without one come before all others, and rows that repeat one stand
+    side by side, by their texts.  A null text counts as empty; texts shorter than
+    ``length`` stay.  Other columns are ignored.
     """
-    least = -(2**63)
-    texts = docs.select(F.coalesce("doc_id", F.lit(least)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    if not texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))
+    # From here on doc_id is the key of a row, and own_id what its id was.
+    texts = keyed_texts(docs).select(F.col("key").alias("doc_id"), F.col("doc_id").alias("own_id"), "text")
     small_batches(docs.sparkSession)
     parts = partitions_for(docs, 8 * 1024 * 1024)
+    # Every task gets one part of the matching and one of the documents.
+    own = F.pmod("part", F.lit(parts)).cast("int")
     hits = (
         texts.mapInArrow(_send_anchors(parts, length), _ROWS)
-        .repartition(parts, "part")
+        .repartitionById(parts, own)
         .mapInArrow(_match_anchors(parts), _ROWS)
-        .repartition(parts, "part")
+        .repartitionById(parts, own)
         .mapInArrow(_gather(_RANGE), "doc_id long, found binary")
         .withColumnRenamed("found", "hits")
     )
@@ -396,14 +468,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = (
         joined.where("hits is not null")
         .mapInArrow(_send_suffixes(parts, length), _ROWS)
-        .repartition(parts, "part")
+        .repartitionById(parts, own)
         .mapInArrow(_match_suffixes(parts, length), _ROWS)
-        .repartition(parts, "part")
+        .repartitionById(parts, own)
         .mapInArrow(_gather(_SPAN), "doc_id long, found binary")
         .withColumnRenamed("found", "spans")
     )
-    columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    clean = joined.where("hits is null").select("doc_id", "text", F.lit(None).cast("binary").alias("spans"))
-    touched = joined.where("hits is not null").select("doc_id", "text").join(spans, "doc_id", "left")
-    done = touched.unionAll(clean).mapInArrow(_removal(length), columns)
-    return done.withColumn("doc_id", F.nullif("doc_id", F.lit(least)))
+    columns = f"doc_id {dict(docs.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    clean = joined.where("hits is null").select(F.col("own_id").alias("doc_id"), "text", F.lit(None).cast("binary").alias("spans"))
+    touched = joined.where("hits is not null").select("doc_id", "own_id", "text").join(spans, "doc_id", "left")
+    return touched.select(F.col("own_id").alias("doc_id"), "text", "spans").unionAll(clean).mapInArrow(_removal(length), columns)

@@ -267,14 +267,84 @@ def test_repeats(docs, rows, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
-def test_previous_factor():
-    rng = np.random.default_rng(0)
-    words, prints = rng.integers(0, 4, 500).astype(np.uint64), rng.integers(0, 4, 500).astype(np.uint64)
-    position = rng.permutation(500)
-    got = suffix_dedup.previous_factor(words, prints, position)
-    for i in range(500):
-        same = (words == words[i]) & (prints == prints[i]) & (position < position[i])
-        assert got[i] == same.any()
+@pytest.mark.parametrize("letters, length", [(2, 16), (2, 40), (1, 24), (26, 16)])
+def test_longest_previous_factors(letters, length):
+    """Suffix order, shared beginnings and factors by definition, over few letters."""
+    rng = np.random.default_rng(letters * length)
+    data = np.concatenate([rng.integers(97, 97 + letters, 700), np.tile(rng.integers(97, 97 + letters, 50), 3)]).astype(np.uint8)
+    start = rng.permutation(len(data) - length)[:500].astype(np.int64)
+    position = rng.permutation(10_000)[: len(start)].astype(np.int64)
+    raw = data.tobytes()
+    text = [raw[s : s + length] for s in start]
+    prints = Prefix(data).of(start, start + length)
+
+    def shared(a, b):
+        return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), length)
+
+    order, lcp = suffix_dedup.suffix_order(data, start, prints, position, length)
+    assert order.tolist() == sorted(range(len(start)), key=lambda i: (text[i], position[i]))
+    assert lcp[1:].tolist() == [shared(text[a], text[b]) for a, b in zip(order, order[1:])]
+    # The nearest smaller positions on either side, one by one.
+    at, common = suffix_dedup._nearest_smaller(position[order], np.concatenate([[-1], lcp[1:]]), 0)
+    for k in range(len(order)):
+        j = next((j for j in range(k - 1, -1, -1) if position[order[j]] < position[order[k]]), -1)
+        assert at[k] == j and common[k] == (min(lcp[j + 1 : k + 1]) if j >= 0 else 0)
+    want = [max((shared(text[i], text[j]) for j in range(len(start)) if position[j] < position[i]), default=0) for i in range(len(start))]
+    assert suffix_dedup.previous_factors(data, start, prints, position, length, 0).tolist() == want
+    for least in (5, length):
+        got = suffix_dedup.previous_factors(data, start, prints, position, length, least)
+        assert got.tolist() == [w if w >= least else 0 for w in want]
+
+
+def odd_ids():
+    base = prose(70, 60)
+    texts = [base, prose(71, 40) + " " + base, base, None, "", prose(72, 30), base + " end", prose(71, 40), "x y", "x y"]
+    return list(zip([None, 5, None, 5, 5, 3, None, None, 5, 5], texts))
+
+
+def test_repeats_with_null_and_repeated_ids(spark):
+    """Every row has its own result, and what goes is what an earlier row or start has."""
+    rows = odd_ids()
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r.doc_id, r.n_bytes) for r in got) == Counter((d, len((t or "").encode())) for d, t in rows)
+    # Whatever the order among equal ids, every string of 100 bytes stays exactly once.
+    strings = lambda raw: {raw[i : i + 100] for i in range(len(raw) - 99)}
+    for key in (None, 3, 5):
+        assert any(r.doc_id == key for r in got)
+    first = next(t for d, t in rows if d is None).encode()
+    kept = [r for r in got if r.kept == first or first in r.kept]
+    assert len(kept) == 1 and kept[0].doc_id is None
+    assert all(not (strings(r.kept) & strings(first)) for r in got if r is not kept[0])
+
+
+def test_neighbours_with_null_and_repeated_ids(spark):
+    rows = odd_ids()
+    got = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r.doc_id, r.n_chars) for r in got) == Counter((d, len(t or "")) for d, t in rows)
+    # The row with id 3 follows one with id 5 and is followed by one without id.
+    own = next(t for d, t in rows if d == 3)
+    n = len(own) // 3
+    three = next(r for r in got if r.doc_id == 3)
+    assert three.edited_sha256 in {hashlib.sha256((own[: len(own) - n] + (t or "")[:n]).encode()).hexdigest() for d, t in rows if d is None}
+
+
+def test_likeness_is_unbiased(spark):
+    """Over many pairs the estimate has no drift from the share of common shingles."""
+    rng = np.random.default_rng(12)
+    rows, true = [], []
+    for i in range(60):
+        own = prose(200 + i, 150).split()
+        other = own[:]
+        for at in rng.choice(150, int(rng.integers(0, 40)), replace=False):
+            other[at] = f"new{at}"
+        a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (own, other))
+        rows.append((i, " ".join(own), " ".join(other)))
+        true.append(len(a & b) / len(a | b))
+    df = spark.createDataFrame(rows, "i int, a string, b string")
+    prints = df.select("i", *(fingerprints.fingerprint(F.col(c)).alias(c) for c in "ab"))
+    got = [r.x for r in prints.select("i", fingerprints.likeness(F.col("a"), F.col("b")).alias("x")).orderBy("i").collect()]
+    error = np.array(got) - np.array(true)
+    assert abs(error.mean()) < 0.015 and np.abs(error).max() < 0.15
 
 
 def test_perspectives(spark):
@@ -310,6 +380,8 @@ def test_fingerprints(docs, rows, empty):
         a, b = shingles(t), shingles(edited)
         true = len(a & b) / len(a | b) if a | b else 1.0
         assert abs(r.near_edited - true) < 0.2
+        c = shingles(following)
+        assert abs(r.near_next - (len(a & c) / len(a | c) if a | c else 1.0)) < 0.2
     prints = defaultdict(set)
     for doc_id, t in texts:
         prints[t].add(got[doc_id].fingerprint)
@@ -450,6 +522,29 @@ def test_near_duplicates(spark, docs, rows, empty):
     assert near(empty).count() == 0
 
 
+def test_near_duplicates_by_four_words_in_small_cells(spark, rows, monkeypatch):
+    """As the query does it; tables larger than a block are compared by cells."""
+    monkeypatch.setattr(tensor_minhash, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(4)
+    items, base = list(text_of(rows).items()), prose(60, 80).split()
+    for i in range(70):
+        words = base[:]
+        for at in rng.choice(80, rng.integers(0, 7), replace=False):
+            words[at] = f"w{rng.integers(0, 5)}"
+        items.append((1000 + i, " ".join(words)))
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in tensor_minhash.near_duplicates(df, tensor_minhash.Banding(shingle=4)).collect()}
+    assert got == brute_components(items, 4)
+
+
+def test_the_filter_holds_all_of_its_documents(spark):
+    ids = spark.range(0, 9000, 3).withColumnRenamed("id", "doc_id")
+    chosen = tensor_minhash.IdFilter(ids, 3000)
+    probes = spark.range(9000).select("id", chosen.probes("id").alias("p")).orderBy("id").toArrow()
+    held = chosen.holds(probes.column("p").combine_chunks())
+    assert held[::3].all() and held.mean() < 0.36
+
+
 def test_near_duplicates_that_hang_on_a_thread(spark):
     """Chains of edits and borderline clusters: links beyond the first member of a table."""
     rng = np.random.default_rng(9)
@@ -470,8 +565,8 @@ def test_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, None), (2, "x y")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert tensor_minhash.near_duplicates(df).count() == 5
-    assert suffix_dedup.remove_repeats(df).count() == 3
-    assert fingerprints.fingerprints(df).count() == 3
+    assert suffix_dedup.remove_repeats(df).count() == 5
+    assert fingerprints.fingerprints(df).count() == 5
     assert sharding.shard_by_bytes(df, 2, scratch_path(spark, "map")).count() == 5
     assert quality_gbt.score_quality(df, None).count() == 5
     assert pii.replace_pii(df, "k").count() == 5
