@@ -118,7 +118,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
-    """(key, n_chars, next_key): the next smaller key of each, cyclically.
+    """``ids(key, ..)`` with ``next_key``: the next smaller key of each, cyclically.
 
     Keys are numbered by ranges; the next smaller one has the number before, and the
     smallest is followed by the largest.
@@ -126,7 +126,7 @@ def neighbours(ids: DataFrame) -> DataFrame:
     numbers = staged(numbered(ids, [F.col("key")], "nth"), "numbers")
     before = F.when(F.col("nth") > 1, F.col("nth") - 1).otherwise(F.lit(numbers.count()))
     other = numbers.select(F.col("nth").alias("_before"), F.col("key").alias("next_key"))
-    return numbers.withColumn("_before", before.cast("long")).join(other, "_before").select("key", "n_chars", "next_key")
+    return numbers.withColumn("_before", before.cast("long")).join(other, "_before").select(*ids.columns, "next_key")
 
 
 def with_edits(texts: DataFrame) -> DataFrame:
@@ -136,15 +136,16 @@ def with_edits(texts: DataFrame) -> DataFrame:
     (descending ``key``, the smallest one followed by the largest).  Texts are shuffled
     once; only the beginnings travel again.
     """
-    ids = staged(texts.select("key", F.length("text").alias("n_chars")), "ids")
+    ids = staged(texts.select("key", "doc_id", F.length("text").alias("n_chars")), "ids")
     near = staged(neighbours(ids), "neighbours")
+    texts = texts.select("key", "text")  # the same columns in both joins, which share one shuffle
     # What a text lends: as many characters as the one before it in the order asks for.
     asked = near.select(F.col("next_key").alias("key"), F.col("key").alias("by"), (F.floor(F.col("n_chars") / 3)).cast("int").alias("chars"))
     lent = texts.join(asked, "key").select(F.col("by").alias("key"), F.substring("text", F.lit(1), F.col("chars")).alias("lent"))
     n = F.length("text")
     keep = (n - F.floor(n / 3)).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), keep), "lent").alias("edited")
-    return texts.join(lent, "key").select("key", "doc_id", "text", edited).join(near.select("key", "next_key"), "key")
+    return texts.join(lent, "key").select("key", "text", edited).join(near.select("key", "doc_id", "next_key"), "key")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -37,13 +37,17 @@ def uniform(seed: str, *columns: str) -> Column:
 
 def sized(docs: DataFrame, seed: str, quality: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """(doc_id, source, size, quality, draw) and ``carry``: one narrow row for each document."""
-    counted = docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"), F.length("text").alias("_length"))
+    # Rows without an id draw by their texts: one draw for all would take or leave them as a block.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    counted = docs.select(
+        "doc_id", "source", *carry, word_count(F.col("text")).alias("size"), F.length("text").alias("_length"), name.alias("_name")
+    )
     weight = quality if quality is not None else F.when(
         F.col("size") > 0, 1 / (1 + F.abs(F.col("_length") / F.col("size") - PROSE_WORD) / PROSE_WORD)
     ).otherwise(F.lit(1.0))
     return counted.withColumn("quality", weight).withColumn(
-        "draw", -F.log(uniform(seed, "doc_id")) / F.col("quality")
-    ).drop("_length")
+        "draw", -F.log(uniform(seed, "_name")) / F.col("quality")
+    ).drop("_length", "_name")
 
 
 def targets(sizes: DataFrame, weights: Sequence[float], most: int = MOST_EPOCHS) -> DataFrame:
@@ -92,7 +96,8 @@ def mix_sources(
     any share of the table.  A null text has size 0 and is taken 0 words; a null source
     is a source of its own.  Equal rows draw the same key and follow each other; which
     of them is cut is left open.  Columns other than ``doc_id``, ``source`` and ``text``
-    are ignored, but those in ``carry`` (such as a row key) are handed on.  The draw depends on ``doc_id`` and ``seed`` only, so reruns agree.
+    are ignored, but those in ``carry`` (such as a row key) are handed on.  The draw
+    depends on ``seed`` and ``doc_id``, or the text where that is null, so reruns agree.
     """
     rows = staged(sized(docs, seed, quality, carry), "sized")
     sizes = rows.groupBy("source").agg(

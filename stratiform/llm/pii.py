@@ -13,11 +13,13 @@ from __future__ import annotations
 import random
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.common import let, staged
 
+KEY_SETTING, TEST_KEY = "stratiform.pii.key", "corpus"
+
 # Given names by gender and script.
 NAMES = {
     ("female", "latin"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Karen Sarah Nancy Margaret Sandra Ashley Emily Anna Maria Julia Sophie Claire".split(),
@@ -232,6 +234,15 @@ def surrogate(e: Column, kind: Column, key: str, own: Column | None = None) -> C
     return out
 
 
+def key_of(spark: SparkSession) -> str:
+    """The secret key of the session, under ``KEY_SETTING``.
+
+    The replacements can be undone by anybody who has the key.  Without the setting a key
+    is taken that is public, for tests and made-up data.
+    """
+    return spark.conf.get(KEY_SETTING, TEST_KEY)
+
+
 def _found(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
 

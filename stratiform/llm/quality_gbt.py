@@ -215,8 +215,9 @@ def train(
 def training_table(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAINING_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Statistics and labels of at most ``rows`` labelled documents, chosen by hash.
 
-    Only the sample's keys and numbers reach the driver.  The chosen labels are joined
-    by broadcast, being at most ``rows`` pairs of numbers.
+    Only the sample's keys and numbers reach the driver, never more than ``rows`` of them:
+    where documents repeat an id, rows are chosen once more, by a hash of their numbers.
+    The chosen labels are joined by broadcast, being at most ``rows`` pairs of numbers.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -237,7 +238,8 @@ def training_table(docs: DataFrame, labels: DataFrame, label: str = "quality", r
                     [*(pa.array(c) for c in x.T), b.column("good").cast(pa.float64())], [*FEATURES, "good"]
                 )
 
-    table = joined.mapInArrow(measure, f"{fields}, good double").toPandas()
+    measured = joined.mapInArrow(measure, f"{fields}, good double")
+    table = measured.orderBy(F.xxhash64(*FEATURES, "good"), *FEATURES, "good").limit(rows).toPandas()
     # Rows arrive in any order; sums of floats would differ between runs.
     table = table.sort_values(list(table.columns)).to_numpy()
     return table[:, :-1], table[:, -1]

@@ -49,7 +49,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with personal data replaced, and how much of each type."""
-    done = pii.replace_pii(documents(spark, sf_dir).select("doc_id", "text"), key="corpus")
+    done = pii.replace_pii(documents(spark, sf_dir).select("doc_id", "text"), key=pii.key_of(spark))
     return done.select("doc_id", "text", *(c.alias(n) for n, c in pii.counts(done).items()))
 
 

@@ -151,7 +151,7 @@ def parted(records: DataFrame, split: dict[tuple[int, int | None], int]) -> Data
     texts = local_frame(
         spark, [(slot, text, n) for (slot, text), n in split.items() if text is not None], "virtual_slot int, text_hash long, _own int"
     )
-    by = F.when(F.col("_own").isNull(), F.xxhash64("text_hash", F.lit("part"))).otherwise(F.xxhash64("doc_id", F.lit("part")))
+    by = F.when(F.col("_own").isNull(), F.xxhash64("text_hash", F.lit("part"))).otherwise(F.xxhash64("spread", F.lit("part")))
     return (
         records.join(F.broadcast(rests), "virtual_slot", "left")
         .join(F.broadcast(texts), ["virtual_slot", "text_hash"], "left")
@@ -181,7 +181,7 @@ def place(records: DataFrame, parts: list[SlotPart]) -> DataFrame:
     known = (
         parted(records, {(p.slot, p.text): p.parts for p in parts})
         .join(F.broadcast(table), F.expr("virtual_slot = slot_ and part = part_ and text <=> text_"))
-        .withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")))
+        .withColumn("cell", F.pmod(F.xxhash64("spread"), F.col("cells")))
     )
     cells = known.groupBy("lot", "cell").agg(F.count("*").alias("n"))
     earlier = F.sum("n").over(Window.partitionBy("lot").orderBy("cell")) - F.col("n")
@@ -191,7 +191,7 @@ def place(records: DataFrame, parts: list[SlotPart]) -> DataFrame:
         known.withColumn("rank", F.row_number().over(order))
         .join(cells, ["lot", "cell"])
         .withColumn("slot", F.col("base") + F.col("earlier") + F.col("rank") - 1)
-        .select(*(c for c in records.columns if c != "text_hash"), "shard", "slot")
+        .select(*(c for c in records.columns if c not in ("text_hash", "spread")), "shard", "slot")
     )
 
 
@@ -204,7 +204,9 @@ def shard_by_bytes(docs: DataFrame, shards: int, map_path: str, version: int = 1
     and its rows only.  A null text counts as an empty one; an empty table gives no rows and an empty map.
     Columns other than ``doc_id`` and ``text`` are ignored.
     """
-    records = staged(slotted(docs), "slots")
+    # Rows without an id are told apart by a number, or one task would get them all.
+    number = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    records = staged(slotted(docs).withColumn("spread", F.xxhash64(F.col("doc_id"), number)), "slots")
     parts = measure(records, shards)
     if version > 1:
         earlier = {(p.slot, p.text, p.part, p.parts): p.shard for p in read_map(docs.sparkSession, map_path, version - 1)}

@@ -11,7 +11,7 @@ MIXING = rf"""
 WITH counted AS (
   SELECT doc_id, source, coalesce(length(text), 0) AS n,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5)
+    (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '#' || md5(coalesce(text, '')))), 1, 13))::BIGINT::DOUBLE + 0.5)
       / 4503599627370496.0::DOUBLE AS u
   FROM documents),
 drawn AS (

@@ -578,6 +578,35 @@ def test_null_and_repeated_ids(spark):
     assert mixing.mix_sources(df.selectExpr("*", "'s' AS source")).count() == 5
 
 
+def test_rows_without_ids_are_spread(spark):
+    """A third of the rows has no id: shards stay even, and draws differ by text."""
+    rows = [(None if i % 3 else i, "one text for all " * 9) for i in range(1200)] + [(None, prose(500 + i, 20)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    load = Counter()
+    for r in sharding.shard_by_bytes(df, 4, scratch_path(spark, "map")).collect():
+        load[r.shard] += r.size
+    assert len(load) == 4 and max(load.values()) < 1.3 * min(load.values())
+    some = df.where("doc_id IS NULL").selectExpr("*", "if(length(text) % 2 = 0, 'a', 'b') AS source")
+    assert mixing.sized(some, "mix").select("draw").distinct().count() == 301
+
+
+def test_training_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(i % 2, prose(i % 40, 60)) for i in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (1, 1), (None, 1)], "doc_id long, quality int")
+    x, y = quality_gbt.training_table(docs, labels, rows=100)
+    assert len(x) == len(y) == 100 and set(y) == {0.0, 1.0}
+    assert len(quality_gbt.training_table(docs, labels)[1]) == 500
+
+
+def test_the_key_comes_from_the_session(spark):
+    assert pii.key_of(spark) == pii.TEST_KEY
+    spark.conf.set(pii.KEY_SETTING, "own")
+    try:
+        assert pii.key_of(spark) == "own"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
 def test_word_hashes_keep_documents_apart():
     data, offsets = flat(pa.array(["ab", "cd ef", None, "ab"]))
     words = Words(data, offsets, Prefix(data))
