@@ -1,7 +1,10 @@
 """A training corpus from raw documents: quality, near-duplicates, privacy, mix, packing.
 
 Each stage is written as a table in the shared folder and read back as the next one's
-documents; the columns of ``documents`` go through to the last stage.
+documents; the columns of ``documents`` go through to the last stage, and others are
+dropped by the first.  No stage needs ids: rows without one, or that repeat one, are rows
+like all others.  A null or empty text fails the quality rules; the later stages leave it
+as it is.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,7 +48,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data replaced; ``n_chars`` follows the text."""
-    done = pii.replace_pii(docs, key="corpus")
+    done = pii.replace_pii(docs, key=pii.key_of(spark))
     return done.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
