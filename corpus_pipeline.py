@@ -29,8 +29,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` written once with ``_row``, a key of every row."""
-    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    """The columns of ``documents`` with ``_row``, a key of every row.
+
+    Ids that differ, none of them null, are the keys.  Otherwise the rows are written once
+    with a number each.
+    """
+    rows = docs.select(*COLUMNS)
+    if rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+        return rows.withColumn("_row", F.col("doc_id"))
+    return staged(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
