@@ -58,6 +58,11 @@ def _group_key(field: T.StructField) -> Column:
 
 _WHOLE = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)
 
+# Types whose values are whole numbers once shuffled, and about what one costs then.
+_BITMAPPED = (*_WHOLE, T.DateType, T.TimestampType)
+_BITMAP_BYTES = 4096
+_CELL_BYTES = 24
+
 
 def _cell(field: T.StructField) -> tuple[Column, Column, Column]:
     """The value as one of a whole number, a floating number or text."""
@@ -102,8 +107,32 @@ def _described(df: DataFrame, fields: Sequence[T.StructField], numbers: DataFram
     )
 
 
+def bitmap_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
+    """Whole-number, date and time columns whose values are cheaper to shuffle as bitmaps.
+
+    Sketches tell for each input partition how many values it would send one by one, and
+    how many bitmaps.  One scan of these columns; no value is shuffled.
+    """
+    fields = [f for f in _fields(df, columns) if isinstance(f.dataType, _BITMAPPED)]
+    if not fields:
+        return []
+    values = [_cell(f)[0] for f in fields]
+    by_task = df.groupBy(F.spark_partition_id().alias("task")).agg(
+        *(F.approx_count_distinct(v).alias(f"_v{i}") for i, v in enumerate(values)),
+        *(F.approx_count_distinct(F.bitmap_bucket_number(v)).alias(f"_b{i}") for i, v in enumerate(values)),
+    )
+    cheaper = [
+        F.coalesce(F.sum(f"_b{i}") * _BITMAP_BYTES < F.sum(f"_v{i}") * _CELL_BYTES, F.lit(False)).alias(f"_{i}")
+        for i in range(len(fields))
+    ]
+    return [f.name for f, yes in zip(fields, by_task.agg(*cheaper).first(), strict=True) if yes]
+
+
 def profile(
-    df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    approx: bool = False,
+    bitmaps: Sequence[str] = (),
 ) -> DataFrame:
     """Type, NULLs and distinct values of every column; NULL is one distinct value.
 
@@ -111,20 +140,45 @@ def profile(
     (column, value) cells and counts those, first within each map task: a value
     that fills a third of a column travels once per task.  ``approx`` counts with
     a sketch and shuffles no values at all, which suits wide tables of mostly
-    distinct values.
+    distinct values.  Columns named in ``bitmaps`` (see ``bitmap_columns``) are counted
+    exactly too, in a scan of theirs, but 32,768 neighbouring values share a row of 4 KB.
     """
     fields = _fields(df, columns)
     if approx:
-        numbers = _approximate(df, fields)
-    else:
-        numbers = _exact(df, fields)
-    return _described(df, fields, numbers)
+        return _described(df, fields, _approximate(df, fields))
+    placed = list(enumerate(fields))
+    dense = [(i, f) for i, f in placed if f.name in bitmaps]
+    unfit = [f.name for _, f in dense if not isinstance(f.dataType, _BITMAPPED)]
+    if unfit:
+        raise ValueError(f"not whole numbers, dates or times: {unfit}")
+    others = [(i, f) for i, f in placed if f.name not in bitmaps]
+    counted = [count(df, some) for count, some in ((_exact, others), (_by_bitmaps, dense)) if some]
+    return _described(df, fields, reduce(DataFrame.unionByName, counted))
+
+
+def _by_bitmaps(df: DataFrame, placed: Sequence[tuple[int, T.StructField]]) -> DataFrame:
+    parts = [x for i, f in placed for x in (F.lit(i), _cell(f)[0])]
+    cells = df.select(F.stack(F.lit(len(placed)), *parts).alias("position", "whole"))
+    return (
+        cells.groupBy("position", F.bitmap_bucket_number("whole").alias("stretch"))
+        .agg(
+            F.count("*").alias("n"),
+            F.count("whole").alias("held"),
+            F.bitmap_construct_agg(F.bitmap_bit_position("whole")).alias("bits"),
+        )
+        .groupBy("position")
+        .agg(
+            F.sum("n").alias("total_rows"),
+            F.sum(F.col("n") - F.col("held")).alias("null_count"),
+            F.sum(F.when(F.col("held") > 0, F.bitmap_count("bits")).otherwise(1)).alias("distinct_count"),
+        )
+    )
 
 
-def _exact(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
-    parts = [x for i, f in enumerate(fields) for x in (F.lit(i), *_cell(f))]
+def _exact(df: DataFrame, placed: Sequence[tuple[int, T.StructField]]) -> DataFrame:
+    parts = [x for i, f in placed for x in (F.lit(i), *_cell(f))]
     value = ("whole", "floating", "text")
-    cells = df.select(F.stack(F.lit(len(fields)), *parts).alias("position", *value))
+    cells = df.select(F.stack(F.lit(len(placed)), *parts).alias("position", *value))
     missing = reduce(and_, [F.col(v).isNull() for v in value])
     return (
         cells.groupBy("position", *value)

@@ -87,6 +87,13 @@ def dsc_profile_documents(spark, sf):
     return pf.profile(star_table(spark, sf, "documents"))
 
 
+@query("dsc_profile_bitmaps", _profile_sql("orders", _TYPES["orders"]))
+def dsc_profile_bitmaps(spark, sf):
+    """The exact profile, neighbouring keys sharing bitmaps where that shuffles less."""
+    orders = star_table(spark, sf, "orders")
+    return pf.profile(orders, bitmaps=pf.bitmap_columns(orders))
+
+
 @query("dsc_profile_approx")
 def dsc_profile_approx(spark, sf):
     return pf.profile(star_table(spark, sf, "lineitem"), approx=True)

@@ -163,6 +163,44 @@ def test_date_ranges_without_dates(spark):
     assert pf.date_ranges(spark.range(3)).count() == 0
 
 
+def _shuffled_bytes(df) -> int:
+    """Bytes that the exchanges of a collected frame wrote."""
+    df.collect()
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("shuffleBytesWritten").get().value() if kind == "ShuffleExchangeExec" else 0
+        below = node.children()
+        return own + sum(walk(below.apply(i)) for i in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_profile_by_bitmaps(spark):
+    edge = [0, 1, -1, 32767, 32768, 32769, -32767, -32768, -32769, 2**63 - 1, -(2**63), None, None, 5, 5]
+    df = spark.createDataFrame([(v, None, v is None) for v in edge], "v long, gone int, flag boolean")
+    names = ["v", "gone", "flag"]
+    for some in (["v"], names):
+        assert sorted(pf.profile(df, bitmaps=some).collect()) == sorted(pf.profile(df).collect())
+    assert sorted(pf.profile(df.limit(0), bitmaps=names).collect()) == sorted(pf.profile(df.limit(0)).collect())
+    with pytest.raises(ValueError, match="text"):
+        pf.profile(spark.createDataFrame([("x",)], "text string"), bitmaps=["text"])
+
+
+def test_bitmaps_shuffle_little_where_keys_are_dense(spark):
+    n = 400_000
+    df = spark.range(0, n, 1, 4).select("id", (F.xxhash64("id")).alias("sparse"), F.col("id").cast("string").alias("text"))
+    assert pf.bitmap_columns(df) == ["id"]
+    assert pf.bitmap_columns(df.select("text")) == [] and pf.bitmap_columns(df.limit(0)) == []
+    by_bits = pf.profile(df, ["id"], bitmaps=["id"])
+    assert by_bits.first().distinct_count == n
+    assert _shuffled_bytes(by_bits) < 0.2 * 8 * n < _shuffled_bytes(pf.profile(df, ["id"]))
+
+
 def test_column_stats(spark):
     df = spark.createDataFrame([("bb", 1), ("a", None)], "s string, n int")
     got = {r.column_name: (r.min_value, r.max_value, r.null_count, r.distinct_count, r.max_length) for r in column_stats(df).collect()}
