@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratiform.session import reliable_checkpoint
+
 
 class AmbiguousMatch(ValueError):
     """Several source rows want to update the same target row."""
@@ -46,9 +48,11 @@ def upsert(
     """Rows of ``source``, and those of ``target`` whose keys it does not bring.
 
     NULL keys match nothing, so such source rows are inserted and such target
-    rows stay.
+    rows stay.  A checked source is kept in the shared folder first: the check and both
+    uses see the same rows, whatever it is computed from.
     """
     if check:
+        source = reliable_checkpoint(source.select(*target.columns))
         check_single_match(target, source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))

@@ -84,6 +84,14 @@ def test_upsert_nulls_and_idempotence(spark):
     assert rows(upsert(upsert(target, keyed, ["k"]), keyed, ["k"])) == rows(upsert(target, keyed, ["k"]))
 
 
+def test_upsert_computes_its_source_once(spark):
+    target = spark.createDataFrame([(i, -1.0) for i in range(50)], "k long, v double")
+    drawn = spark.range(40).select(F.col("id").alias("k"), F.uuid().alias("extra"), F.rand().alias("v"))
+    got = upsert(target, drawn, ["k"])
+    assert rows(got) == rows(got) and got.where("v >= 0").count() == 40 and got.columns == ["k", "v"]
+    assert got.inputFiles() == [] and "Rand" not in got._jdf.queryExecution().toString()
+
+
 def test_upsert_rejects_ambiguous_matches_only(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     with pytest.raises(AmbiguousMatch):
