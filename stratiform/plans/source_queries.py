@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from stratiform.functions.audit import with_audit
 from stratiform.operators.enrich import enrich
-from stratiform.operators.layout import cluster_depth, compact, file_stats, layout_stats, zorder
+from stratiform.operators.layout import cluster_depth, compact, file_stats, layout_stats, open_folders, zorder
 from stratiform.operators.merge import upsert
 from stratiform.plans.registry import dbl, query
-from stratiform.session import scratch_path
+from stratiform.session import partitions_of, scratch_path
 from stratiform.sinks import (
     accepted,
     append_or_create,
@@ -354,6 +354,9 @@ def snk_write_gold(spark, sf):
     return spark.read.parquet(path)
 
 
+# Bytes of a scan whose rows go into one set of small files.
+_SMALL_FILE_BYTES = 32 * 1024 * 1024
+
 _LINES_SQL = """SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   l_quantity, l_extendedprice, l_returnflag FROM lineitem"""
 
@@ -388,7 +391,11 @@ def lay_compact_where(spark, sf):
     """Small files of one partition merged; per partition, whether its files are the same."""
     path = scratch_path(spark, "compact-where")
     lines = star_table(spark, sf, "lineitem")
-    lines.repartition(12).write.partitionBy("l_returnflag").parquet(path)
+    # Rows are dealt in turn by their places in the files, with no sort on either side.
+    n = partitions_of(lines, 12, _SMALL_FILE_BYTES)
+    turn = (F.pmod(F.xxhash64("_metadata.file_path"), F.lit(n)) + F.col("_metadata.row_index")) % n
+    with open_folders(spark, 16):
+        lines.repartitionById(n, turn.cast("int")).write.partitionBy("l_returnflag").parquet(path)
     flag = F.regexp_extract("file_path", "l_returnflag=([^/]*)", 1).alias("l_returnflag")
     file_stats(spark.read.parquet(path)).select("file_path", flag).write.parquet(f"{path}-before")
     compact_files(spark, path, "l_returnflag = 'R'")

@@ -21,7 +21,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.operators.layout import TARGET_FILE_BYTES, even_partitions, partition_size, zorder
+from stratiform.operators.layout import TARGET_FILE_BYTES, even_partitions, open_folders, partition_size, zorder
 from stratiform.operators.merge import check_single_match
 from stratiform.session import local_frame, reliable_checkpoint
 
@@ -203,7 +203,8 @@ def compact_files(
     name = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
     placed = read_files(spark, table, path, old).select("*", name.alias("_name")).join(names, "_name")
     rows = placed.repartitionById(len(bins), "_bin").select(*table.columns)
-    return replace_files(spark, path, old, rows, parts, target_bytes)
+    with open_folders(spark, 1):  # a task has a bin, whose files are of one folder
+        return replace_files(spark, path, old, rows, parts, target_bytes)
 
 
 def merge_files(

@@ -3,11 +3,13 @@
 import datetime as dt
 import json
 import random
+import re
 import uuid
 from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +20,7 @@ from stratiform.operators.enrich import checked_broadcast, enrich
 from stratiform.operators.layout import cluster_depth, compact, file_stats, layout_stats, z_value, zorder
 from stratiform.operators.merge import AmbiguousMatch, scd2, snapshot_diff, upsert
 from stratiform.operators.reporting import bernoulli_sample
+from stratiform.plans import source_queries
 from stratiform.session import scratch_path, shuffle_partitions_for
 from stratiform.sinks import (
     LoadConflict, accepted, append_or_create, compact_files, copy_into, create_or_merge, loaded, loaded_files, merge_files,
@@ -453,6 +456,33 @@ def test_compacting_chosen_files_leaves_the_others(spark):
     assert rows(spark.read.parquet(path).select("id", "p", "q")) == rows(df)
 
 
+def test_writing_bins_and_small_files_sorts_no_rows_and_grows(spark, monkeypatch):
+    """A sort by folder takes memory for all rows of a task, and so do tasks of a fixed number."""
+    path = scratch_path(spark, "test-lines")
+    price = (F.col("id") % 97).cast("double")
+    flag = F.when(F.col("id") % 5 == 0, None).otherwise(F.substring(F.lit("RNAR"), (F.col("id") % 4 + 1).cast("int"), F.lit(1)))
+    lines = spark.range(6000).select((F.col("id") % 50).alias("l_orderkey"), price.alias("l_extendedprice"), flag.alias("l_returnflag"))
+    lines.unionAll(lines).coalesce(1).write.parquet(f"{path}/lineitem.parquet")
+    writers, write = [], DataFrameWriter.parquet
+
+    def spied(self, to, *args, **kwargs):
+        if re.search("/(data|compact-where-[0-9a-f]*)$", to):
+            writers.append((int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")), self._df.rdd.getNumPartitions()))
+        return write(self, to, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    monkeypatch.setattr(source_queries, "_SMALL_FILE_BYTES", 100, raising=False)
+    got = {r.l_returnflag: (r.lines, r.price, r.files_kept, r.fewer_files) for r in source_queries.lay_compact_where(spark, path).collect()}
+    want = {r.l_returnflag: (r.n, float(r.p)) for r in lines.groupBy("l_returnflag").agg((2 * F.count("*")).alias("n"), (2 * F.sum("l_extendedprice")).alias("p")).collect()}
+    assert {k: (v[0], float(v[1])) for k, v in got.items() if k} == {k: v for k, v in want.items() if k}
+    assert {k: v[2:] for k, v in got.items() if k} == {"R": (False, True), "N": (True, False), "A": (True, False)}
+    (small, parts), (bins, _) = writers
+    # Spark sorts once as many files are open as the setting says.
+    assert small > 4 and bins > 1
+    assert parts > 12
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_merging_files_rewrites_only_those_with_matches(spark):
     path = scratch_path(spark, "test-merge")
     target = spark.range(1000).select("id", F.lit("old").alias("v"), F.lit(None).cast("int").alias("w"))
