@@ -57,7 +57,7 @@ _START, _END = r"(?<!\p{L})", r"(?!\p{L})"
 PATTERNS = {
     "secret": r"\b(?i:" + "|".join(SECRET_WORDS) + r")\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_/+.-]{7,}[A-Za-z0-9_/+-]",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "ipv6": rf"(?<![\w:])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?i:[23][0-9a-f]{{3}}|fe[89ab][0-9a-f]|f[cd][0-9a-f]{{2}})(?::{_GROUP}){{0,6}}::(?:{_GROUP}(?::{_GROUP}){{0,5}})?)(?![\w:])",
     "iban": r"(?<![A-Za-z0-9])(?:" + "|".join(IBAN_COUNTRIES) + r")\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\.?\d)",
@@ -72,7 +72,31 @@ PATTERNS = {
     rf"|{_START}(?i:{NAME_LABELS}){_WORD}(?:-{_WORD})*(?: {_SURNAME}){{0,2}}{_END}",
 }
 TYPES = tuple(PATTERNS)
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+
+
+def _firsts(words: list[str]) -> str:
+    """First letters of words, of both cases."""
+    return "".join(sorted({c for w in words for c in (w[0].lower(), w[0].upper())}))
+
+
+# What a match of each type may begin with.  Hardly any place of a text is such a place,
+# and the patterns are tried at no other.
+BEGINNINGS = {
+    "secret": _firsts(SECRET_WORDS),
+    "key": "A",
+    "email": "A-Za-z0-9._%+-",
+    "ipv6": "0-9A-Fa-f",
+    "iban": "A-Z",
+    "ip": "0-9",
+    "card": "2-6",
+    "ssn": "0-9Ss",
+    "phone": "0-9(+" + _firsts("phone tel mobile cell fax".split()),
+    "name": "".join(sorted({w[0] for w in (*_GIVEN, *TITLES)} | {*_firsts("my signed full first last sur".split())})),
+}
+# No match begins between two small letters, nor with a space or a comma.
+_INSIDE = "(?<![a-z](?=[a-z]))"
+_BEGINS = f"(?=[A-Za-z0-9._%+(\\-{''.join(c for c in BEGINNINGS['name'] if not c.isascii())}])"
+ANY = f"{_INSIDE}{_BEGINS}(?:{'|'.join(f'(?=[{BEGINNINGS[t]}])(?:{p})' for t, p in PATTERNS.items())})"
 # In documents with names: also every capitalised word, which may be a mention of one.
 MENTION = rf"{_START}(?:\p{{Lu}}['’])?\p{{Lu}}\p{{L}}{{2,}}{_END}"
 ANY_OR_MENTION = f"{ANY}|{MENTION}"

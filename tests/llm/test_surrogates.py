@@ -4,9 +4,11 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratiform.llm import pii
 
@@ -148,6 +150,41 @@ def test_labelled_sentences(found, i):
     assert found[i] == LABELLED[i][1]
 
 
+def plain(patterns):
+    """The patterns one after the other, tried at every place."""
+    return "|".join(f"(?:{p.replace('{1,64}+@', '{1,64}@')})" for p in patterns)
+
+
+def test_the_search_finds_what_the_patterns_find_everywhere(spark):
+    rng = random.Random(7)
+    pieces = [e for _, entities in LABELLED for e in entities] + [s for s, _ in LABELLED]
+    pieces += [*"aZzZéßйЙ0159._%+-(:@ \n\t,'’\u00a0\u0130\u017f\u212a😀", "x" * 70, "ssn 123 45 6789", "Social Security no.: 123456789", "CELL 2125550100", "(212) 555-0100", "+49 30 123456", "PassWord='hunter22x", "Señora Gómez"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    # Pieces that begin or end in the middle.
+    texts += [t[rng.randint(0, 5) : rng.randint(6, 60)] for t in texts]
+    mention = f"|{pii.MENTION}"
+    for fast, slow in ((pii.ANY, plain(pii.PATTERNS.values())), (pii.ANY_OR_MENTION, plain(pii.PATTERNS.values()) + mention)):
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        a, b = (F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (fast, slow))
+        got = df.select("text", a.alias("a"), b.alias("b")).collect()
+        assert all(r.a == r.b for r in got) and sum(len(r.b) for r in got) > 8000
+
+
+def test_the_search_passes_quickly_over_plain_words(spark):
+    """Patterns tried at every letter take twice the time and more."""
+    words = "the of Und ie er ein, tion. Les dans que reaux. nd in 12 of a8 thing\n"
+    pattern = spark._jvm.java.util.regex.Pattern
+
+    def seconds(p):
+        search = pattern.compile(p)
+        start = time.perf_counter()
+        assert not search.matcher(words * 10_000).find()
+        return time.perf_counter() - start
+
+    runs = [(seconds(pii.ANY), seconds(plain(pii.PATTERNS.values()))) for _ in range(5)]
+    assert min(a for a, _ in runs) < 0.7 * min(b for _, b in runs), runs
+
+
 def test_replacements_follow_the_model(spark):
     rng = random.Random(3)
     cases = [(k, e) for _ in range(40) for k, e in entities(rng).items()]
